@@ -1,0 +1 @@
+"""Record linkage and entity resolution on Spark DataFrames."""
