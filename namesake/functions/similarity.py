@@ -32,9 +32,22 @@ def _wide_lcs(a: str, b: str) -> int:
     return len(a) - row.bit_count()
 
 
-def _codes(strings: list[str], width: int, pad: int) -> np.ndarray:
-    raw = "".join(s.ljust(width, chr(pad)) for s in strings).encode("utf-32-le", "surrogatepass")
-    return np.frombuffer(raw, "<u4").reshape(len(strings), width)
+def _codes(strings: list[str], width: int, alphabet: np.ndarray) -> np.ndarray:
+    """(strings, width) places in the alphabet; past the end the place after the last."""
+    raw = np.frombuffer("".join(s.ljust(width, "\U0010ffff") for s in strings).encode("utf-32-le", "surrogatepass"), "<u4")
+    code = np.minimum(np.searchsorted(alphabet, raw), len(alphabet))
+    return code.reshape(len(strings), width)
+
+
+def _tables(strings: list[str], alphabet: np.ndarray) -> np.ndarray:
+    """For each string and character the bits of the positions at which it stands, and zeros for no character."""
+    code = _codes(strings, WIDTH, alphabet)
+    table = np.zeros((len(strings), len(alphabet) + 1), np.uint64)
+    every = np.arange(len(strings))
+    for i in range(max(map(len, strings))):
+        table[every, code[:, i]] |= np.uint64(1) << np.uint64(i)
+    table[:, -1] = 0
+    return table
 
 
 def lcs_lengths(a: list[str], b: list[str]) -> np.ndarray:
@@ -47,14 +60,17 @@ def lcs_lengths(a: list[str], b: list[str]) -> np.ndarray:
     fits = (sizes > 0) & (sizes <= WIDTH) & (lengths <= 8 * WIDTH)
     order = np.flatnonzero(fits)
     order = order[np.argsort(lengths[order], kind="stable")]
-    for at in range(0, len(order), 4096):
-        pick = order[at : at + 4096]
-        wide = int(lengths[pick].max())
-        x = _codes([short[i] for i in pick], WIDTH, 0x10FFFE)
-        y = np.ascontiguousarray(_codes([long[i] for i in pick], wide, 0x10FFFF).T)
+    for at in range(0, len(order), 8192):
+        pick = order[at : at + 8192]
+        which, strings = pd.factorize(np.array([short[i] for i in pick], object))
+        others, texts = pd.factorize(np.array([long[i] for i in pick], object))
+        alphabet = np.array(sorted({ord(c) for s in (*strings, *texts) for c in s}), np.uint32)
+        table = _tables(list(strings), alphabet).ravel()
+        y = np.ascontiguousarray(_codes(list(texts), int(lengths[pick].max()), alphabet).T)
+        base = which * (len(alphabet) + 1)
         row = np.full(len(pick), ~np.uint64(0))
         for step in y:
-            hit = np.packbits(x == step[:, None], axis=1, bitorder="little").view(np.uint64).ravel() & row
+            hit = table[base + step[others]] & row
             row = (row + hit) | (row - hit)
         used = sizes[pick].astype(np.uint64)
         mask = np.where(used == 64, ~np.uint64(0), (np.uint64(1) << (used & np.uint64(63))) - np.uint64(1))
@@ -75,7 +91,8 @@ def sorted_tokens(text: str) -> str:
 
 
 def token_sort_ratios(a: list[str], b: list[str]) -> np.ndarray:
-    return ratios([sorted_tokens(x) for x in a], [sorted_tokens(y) for y in b])
+    ordered = {x: sorted_tokens(x) for x in {*a, *b}}
+    return ratios([ordered[x] for x in a], [ordered[y] for y in b])
 
 
 def token_set_ratios(a: list[str], b: list[str]) -> np.ndarray:
@@ -86,8 +103,9 @@ def token_set_ratios(a: list[str], b: list[str]) -> np.ndarray:
     """
     out = np.zeros(len(a))
     left, right, spread, shared, at = [], [], [], [], []
+    sets = {x: frozenset(x.split()) for x in {*a, *b}}
     for i, (x, y) in enumerate(zip(a, b, strict=True)):
-        p, q = set(x.split()), set(y.split())
+        p, q = sets[x], sets[y]
         if not p or not q:
             continue
         both = p & q
@@ -150,9 +168,10 @@ def once(kernel: Callable[[list[str], list[str]], np.ndarray]) -> Callable[[pd.S
     def run(a: pd.Series, b: pd.Series) -> pd.Series:
         if not len(a):
             return pd.Series(dtype="float64")
-        code, pairs = pd.factorize(pd.MultiIndex.from_arrays([a.fillna(""), b.fillna("")]))
-        x, y = zip(*pairs.tolist(), strict=True)
-        return pd.Series(kernel(list(x), list(y))[code])
+        left, x = pd.factorize(a.fillna(""))
+        right, y = pd.factorize(b.fillna(""))
+        code, pairs = pd.factorize(left * len(y) + right)
+        return pd.Series(kernel(x[pairs // len(y)].tolist(), y[pairs % len(y)].tolist())[code])
 
     return run
 

@@ -578,7 +578,7 @@ def er_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 CHECK_SQL = f"""{BLOCKED_SQL}
-SELECT 'invalid_ids' AS name, count(*) FILTER (k > 0) AS offenders FROM rec WHERE source = 2 UNION ALL SELECT 'duplicate_ids', count(*) FROM rec WHERE source = 2
+SELECT 'invalid_ids' AS name, count(*) AS offenders FROM rec WHERE source = 2 UNION ALL SELECT 'duplicate_ids', count(*) FROM rec WHERE source = 2
 UNION ALL SELECT 'shared_targets', count(*) FROM (SELECT target_id FROM bp GROUP BY 1 HAVING count(DISTINCT ref_id) > 1) UNION ALL SELECT 'repeated_targets', count(*) FROM bp UNION ALL SELECT 'unknown_targets', 0
 UNION ALL SELECT 'truth_outside', count(*) FROM rec r WHERE source > 1 AND k % 7 <> 0 AND NOT EXISTS (SELECT 1 FROM bp WHERE rk = r.k AND target_id = r.eid)"""
 

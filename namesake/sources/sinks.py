@@ -27,13 +27,13 @@ def score_lists(references: DataFrame, pairs: DataFrame) -> DataFrame:
 
 def write_tsv(df: DataFrame, path: str, one_file: bool = False) -> None:
     """Tab-separated with a header.  Spark's commit protocol publishes whole outputs only."""
-    (df.coalesce(1) if one_file else df).write.csv(path, sep="\t", header=True, quote='"', escape='"', emptyValue="", mode="overwrite")
+    (df.coalesce(1) if one_file else df).write.csv(path, sep="\t", header=True, quote='"', escape='"', emptyValue="", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False, mode="overwrite")
 
 
 def write_ordered_tsv(df: DataFrame, path: str, order: str = "ref_idx") -> None:
     """In source order over many files: ranges of the order, each sorted."""
     ranged = df.repartitionByRange(order).sortWithinPartitions(order).drop(order)
-    ranged.write.csv(path, sep="\t", header=True, quote='"', escape='"', emptyValue="", mode="overwrite")
+    ranged.write.csv(path, sep="\t", header=True, quote='"', escape='"', emptyValue="", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False, mode="overwrite")
 
 
 def write_features(df: DataFrame, path: str, names: list[str]) -> None:
