@@ -73,11 +73,11 @@ def valid(kind: str, value: Column) -> Column:
     return F.lit(True)
 
 
-def kind_spans() -> Column:
-    """One array of kind, start, end from the columns of the kinds."""
+def kind_spans(*more: str) -> Column:
+    """One array of kind, start, end (and further fields of the spans) from the columns of the kinds."""
 
     def of(kind: str) -> Column:
-        return F.transform(kind, lambda s: F.named_struct(F.lit("kind"), F.lit(kind), F.lit("start"), s["start"], F.lit("end"), s["end"]))
+        return F.transform(kind, lambda s: F.named_struct(F.lit("kind"), F.lit(kind), *[x for f in ("start", "end", *more) for x in (F.lit(f), s[f])]))
 
     return F.flatten(F.array(*map(of, KINDS)))
 
@@ -102,7 +102,7 @@ def occurrences(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """doc_id, text_hash, base (kind -> spans), candidates: one pass over the texts, written to the shared folder."""
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
     rows = df.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), text.alias("text"))
-    bare = lambda spans: F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end")))
+    bare = lambda spans: F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["value"].alias("value")))
     left = lambda gap: F.lower(F.regexp_extract(gap, rf"([^{SPACE}]+)[{SPACE}]*$", 1))
     candidates = F.when(F.col("text").rlike("[0-9@]"), located(F.col("text"), CANDIDATE)).otherwise(F.array().cast(SPAN))
     found = rows.select("doc_id", F.xxhash64("text").alias("text_hash"), *[bare(base_spans(F.col("text"), k)).alias(k) for k in KINDS], candidates.alias("tokens"))
@@ -112,12 +112,12 @@ def occurrences(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 def instances(found: DataFrame) -> DataFrame:
     """doc_id, text_hash, start, end, value, pattern, seed (kind of the base span that starts in the token, or null),
-    inside (the token overlaps a base span)."""
-    rows = found.select("doc_id", "text_hash", kind_spans().alias("spans"), F.explode("tokens").alias("t"))
+    inside (the token overlaps a base span).  The value of a seed is its whole span, that of others the bare token."""
+    rows = found.select("doc_id", "text_hash", kind_spans("value").alias("spans"), F.explode("tokens").alias("t"))
     touching = F.filter("spans", lambda s: (s["start"] < F.col("t.end")) & (s["end"] > F.col("t.start")))
     opened = F.filter(touching, lambda s: s["start"] >= F.col("t.start"))
     return rows.select(
-        "doc_id", "text_hash", F.col("t.at").alias("start"), (F.col("t.at") + F.length("t.value")).alias("end"), F.col("t.value").alias("value"), F.col("t.pattern").alias("pattern"),
+        "doc_id", "text_hash", F.col("t.at").alias("start"), (F.col("t.at") + F.length("t.value")).alias("end"), F.coalesce(F.get(opened, F.lit(0))["value"], F.col("t.value")).alias("value"), F.col("t.pattern").alias("pattern"),
         F.get(opened, F.lit(0))["kind"].alias("seed"), (F.size(touching) > 0).alias("inside"),
     )
 
