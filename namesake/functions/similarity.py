@@ -189,7 +189,7 @@ def _column(kernel: Callable) -> Callable[[Column, Column], Column]:
 ratio = _column(ratios)
 token_sort_ratio = _column(token_sort_ratios)
 token_set_ratio = _column(token_set_ratios)
-partial_ratio_column = _column(partial_ratios)
+partial_token_ratio = _column(partial_ratios)
 
 
 def jaccard(a: Column, b: Column) -> Column:

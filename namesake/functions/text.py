@@ -1,13 +1,12 @@
 """Scalar string functions as Spark columns.
 
 Everything runs in the JVM on text of Latin scripts: accents are folded by one ``translate`` whose table is built from
-the Unicode decompositions.  ``normalize_unicode`` and ``romanize`` are the general forms for other scripts, as Arrow
-functions; they agree with the native ones on Latin text.  The empty string is the missing value throughout.
+the Unicode decompositions.  ``normalize_unicode`` is the general form for other scripts, an Arrow
+function; it agrees with the native one on Latin text.  The empty string is the missing value throughout.
 """
 
 from __future__ import annotations
 
-import re
 import unicodedata
 
 import pandas as pd
@@ -229,8 +228,3 @@ def target_code(eid: Column) -> Column:
 
 def id_list(text: Column) -> Column:
     return F.filter(F.split(text, ","), lambda x: x != "")
-
-
-def romanize(value: str) -> str:
-    """A plain transliteration of one value for tests and the general path."""
-    return re.sub("[̀-ͯ]", "", unicodedata.normalize("NFKD", value)).lower()

@@ -337,10 +337,11 @@ SELECT ref_id, target_id, round(coalesce(top / greatest(1e-9, bottom), 0.0), 6)
 
 
 def er_name_kernels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every distinct part name against every other: a stated set of names, whatever the number of parts."""
+    """The edit kernels for all distinct part names that share a word."""
     names = load(spark, sf_dir, "part").select(text.normalize(F.col("p_name")).alias("a")).distinct()
     a, b = F.col("a"), F.col("b")
-    pairs = names.crossJoin(F.broadcast(names.withColumnRenamed("a", "b")))
+    worded = names.select("a", F.explode(text.words(a)).alias("word"))
+    pairs = worded.join(worded.withColumnRenamed("a", "b"), "word").select("a", "b").distinct()
     r = lambda c: F.round(c, 6)
     return pairs.select("a", "b", r(similarity.ratio(a, b)).alias("ratio"), r(similarity.token_sort_ratio(a, b)).alias("sorted"), r(similarity.token_set_ratio(a, b)).alias("set"))
 
@@ -356,7 +357,7 @@ def _lcs_sql(a: str, b: str) -> str:
 KERNEL_SQL = f"""
 WITH n AS (SELECT DISTINCT array_to_string(regexp_extract_all(lower(p_name), '[a-z0-9]+'), ' ') AS a FROM part),
 s AS (SELECT a, array_to_string(list_sort(string_split(a, ' ')), ' ') AS srt, list_distinct(string_split(a, ' ')) AS st FROM n),
-p AS (SELECT x.a AS a, y.a AS b, x.srt AS sa, y.srt AS sb, list_sort(list_intersect(x.st, y.st)) AS i, x.st AS xa, y.st AS yb FROM s x, s y),
+p AS (SELECT x.a AS a, y.a AS b, x.srt AS sa, y.srt AS sb, list_sort(list_intersect(x.st, y.st)) AS i, x.st AS xa, y.st AS yb FROM s x, s y WHERE list_has_any(x.st, y.st)),
 q AS (
   SELECT *, array_to_string(i, ' ') AS si, array_to_string(list_sort(list_filter(xa, lambda t: NOT list_contains(yb, t))), ' ') AS da, array_to_string(list_sort(list_filter(yb, lambda t: NOT list_contains(xa, t))), ' ') AS db FROM p),
 w AS (SELECT *, trim(si || ' ' || da) AS wa, trim(si || ' ' || db) AS wb FROM q)
