@@ -70,15 +70,15 @@ def bisect_exponent(shares: DataFrame, target_entropy: float | None = None, max_
 def mixing_weights(rows: DataFrame, exponent: float) -> DataFrame:
     """source, tokens, weight, quota for rows of source, tokens a source; quota: of the smallest budget that loses nothing."""
     power = F.exp(F.lit(exponent) * F.log(F.col("tokens").cast("double")))
-    z = rows.agg(F.sum(power).alias("z"), F.max(F.col("tokens") / power).alias("scale"))
-    return rows.crossJoin(F.broadcast(z)).select("source", "tokens", (power / F.col("z")).alias("weight"), F.round(power * F.col("scale")).cast("long").alias("quota"))
+    z, scale = rows.agg(F.sum(power), F.max(F.col("tokens") / power)).first()
+    return rows.select("source", "tokens", (power / F.lit(z)).alias("weight"), F.round(power * F.lit(scale)).cast("long").alias("quota"))
 
 
 def mixing_plan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", target_entropy: float | None = None, max_repeats: float | None = 2.0, budget: int | None = None, seed: int = 0) -> DataFrame:
     """doc_id, source, tokens, block, copies: how often the mixture takes each document (0 only if a budget is stated).
 
-    budget: tokens of the mixture; None: the smallest with which each source is passed at least once.  The number of
-    rows of the tables that are broadcast is one.  The document at which a quota is reached is the last one taken.
+    budget: tokens of the mixture; None: the smallest with which each source is passed at least once.  The document
+    at which a quota is reached is the last one taken.
     """
     d = df.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{source_col}`").cast("string").alias("source"), tokens(F.col(f"`{text_col}`")).alias("tokens"))
     order = F.md5(F.concat_ws("|", F.lit(str(seed)), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
