@@ -49,12 +49,6 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def drop_written(spark: SparkSession, path: str) -> None:
-    """Deletes a work path by the file system it lies in."""
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
-
-
 def ordered_bucket(df: DataFrame, col: str, n: int) -> Column:
     """A bucket number that rises with col (nulls first), from about n equal parts of the rows.
 

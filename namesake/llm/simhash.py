@@ -19,7 +19,6 @@ from __future__ import annotations
 
 import itertools
 import math
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,7 +29,6 @@ from pyspark.sql import functions as F
 from namesake.llm.common import id_and_text, materialise, shuffle_parts
 from namesake.llm.components import connected_components
 
-WORD = re.compile(rb"[^ \t-\r]+")
 #: Most fingerprints that are compared in one piece; larger blocks are compared by pairs of halves of it.
 BLOCK_LIMIT = 8192
 #: Fingerprints a block holds on average, by which the number of sampled bits follows the data.

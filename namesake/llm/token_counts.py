@@ -32,7 +32,7 @@ def encode_chunk(text: str, at: int, to: int, memo) -> tuple[list[int], list[byt
     return [s for s, _ in found], [memo[w.encode()] for _, w in found]
 
 
-def splice(left: tuple, right: tuple, lo: int, hi: int, last: bool) -> tuple[int, int] | None:
+def splice(left: tuple, right: tuple, lo: int, hi: int) -> tuple[int, int] | None:
     """Where the chunks that overlap in [lo, hi) agree: the position in each list of the first word after the splice.
 
     The first word of the right chunk may be a torn one, so a boundary must lie past lo; the last word of the left one
@@ -65,7 +65,7 @@ def count_tokens(text: str, memo, chunk: int = CHUNK, overlap: int = OVERLAP, wi
                 chunk = 2 * (to - at)
                 left = None
                 break
-            if (found := splice(now, right, lo, to, False)) is not None:
+            if (found := splice(now, right, lo, to)) is not None:
                 i, j = found
                 total += sum(map(len, now[1][skip:i])) // width
                 at, left, skip = lo, right, j

@@ -27,9 +27,9 @@ def test_random_texts(tok):
 
 def test_splice_needs_agreement():
     left, right = ([0, 4, 9], [b"aaaa", b"bbbb", b"cc"]), ([4, 9, 13], [b"bbbb", b"ccdd", b"eeee"])
-    assert tc.splice(left, right, 2, 11, False) == (1, 0)
-    assert tc.splice(left, right, 4, 11, False) is None
-    assert tc.splice(left, ([4], [b"xxxx"]), 2, 11, False) is None
+    assert tc.splice(left, right, 2, 11) == (1, 0)
+    assert tc.splice(left, right, 4, 11) is None
+    assert tc.splice(left, ([4], [b"xxxx"]), 2, 11) is None
 
 
 def test_operator(docs, empty, tok):
