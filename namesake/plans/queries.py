@@ -609,9 +609,9 @@ def er_review_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def er_review_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Unmatched references of one country whose record says "bolt"."""
+    """Matched references of one country whose record says "bolt"."""
     items = views.part_records(spark, sf_dir, 1).withColumnRenamed("entity_id", "ref_id").join(_flags(spark, sf_dir), "ref_id")
-    return review.searched(items, "Bolt", "US", "unmatched").select("ref_id", "matches")
+    return review.searched(items, "Bolt", "US", "matched").select("ref_id", "matches")
 
 
 def er_review_items(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -759,7 +759,7 @@ FROM ent LEFT JOIN l ON l.ref_id = eid LEFT JOIN c2 ON c2.ref_id = eid WHERE sou
     "er_decisions": f"{FLAG_SQL} SELECT ref_id, target_id, decision, owner FROM de QUALIFY row_number() OVER (PARTITION BY ref_id ORDER BY score DESC, target_id) <= 10 OR selected",
     "er_review_flags": f"{FLAG_SQL} SELECT ref_id, array_to_string(flags, ';') AS flags, matches, candidates FROM rf",
     "er_review_summary": f'{FLAG_SQL} SELECT count(*) AS "references", sum(candidates)::BIGINT AS candidates, sum(matches)::BIGINT AS matches, count(*) FILTER (matches = 0) AS unmatched, count(*) FILTER (len(flags) > 0) AS flagged FROM rf',
-    "er_review_search": f"{FLAG_SQL} SELECT ref_id, matches FROM rf WHERE country = 'US' AND matches = 0 AND contains(lower(concat_ws(' ', ref_id, business_name, business_address, country)), 'bolt')",
+    "er_review_search": f"{FLAG_SQL} SELECT ref_id, matches FROM rf WHERE country = 'US' AND matches > 0 AND contains(lower(concat_ws(' ', ref_id, business_name, business_address, country)), 'bolt')",
     "er_pilot": PILOT_SQL,
     "er_stream": f"{BLOCKED_SQL} SELECT ref_id, target_id FROM bp",
 }
