@@ -23,6 +23,10 @@ from namesake.llm.common import id_and_text
 from namesake.llm.words import WordMemo, library, packer, special_strings, vocabulary_path, whitespace_free
 
 
+#: Words a codec remembers; it holds two models beside them.
+CODEC_WORDS = 300_000
+
+
 def forced_pairs(vocab: list[str], suffix: str) -> set[str]:
     """The pairs of byte characters that some token holds; all others are certain cuts."""
     inside: set[str] = set()
@@ -78,7 +82,7 @@ class Codec:
             return out
 
         self.dtype = "<u2" if max(self.token) < 65536 else "<u4"
-        self.memo = WordMemo(encode, encode_piece, packer(self.dtype), b"".join, specials)
+        self.memo = WordMemo(encode, encode_piece, packer(self.dtype), b"".join, specials, limit=CODEC_WORDS)
 
     def packed(self, text: str) -> bytes:
         self.memo.trim()

@@ -17,7 +17,7 @@ from collections.abc import Callable
 import numpy as np
 
 #: Pieces a worker remembers, some 200 bytes each.
-MEMO_WORDS = 1_000_000
+MEMO_WORDS = 600_000
 #: Letters of Latin-1 and Latin Extended-A whose lower case and normal form are one character whatever stands beside them.
 LATIN = "\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u0148\u014a-\u017f"
 PLAIN = re.compile(f"[!-~{LATIN}]+")
@@ -85,7 +85,7 @@ class WordMemo(dict):
     def trim(self) -> None:
         if len(self) > self.limit:
             self.clear()
-        if len(self.pieces) > self.limit:
+        if len(self.pieces) > self.limit // 2:
             self.pieces.clear()
 
 
