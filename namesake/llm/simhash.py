@@ -296,36 +296,8 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return out.select("doc_id", text.alias("fingerprint"), F.nullif("component_id", F.lit(2**63 - 1)).alias("component_id"))
 
 
-#: Bits of the fingerprints by which the stage compares shingles of five words.
-WIDE = 512
-
-
-def similar_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = 0.8, recall: float = 0.99) -> DataFrame:
-    """doc_id, component_id: documents whose sets of shingles have a Jaccard similarity of `similarity` or more link, as
-    their 512-bit fingerprints estimate it (standard error 0.04 there); links are found with the stated recall."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            prints, sizes = [], []
-            for t in b.column(1):
-                h = np.unique(shingle_hashes(t.as_py(), words))
-                prints.append(b"".join(majority_bits(remix(h, i)).to_bytes(8, "little") for i in range(WIDE // 64)))
-                sizes.append(len(h))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(prints, pa.binary()), pa.array(sizes, pa.int64())], names=["doc_id", "fingerprint", "weight"])
-
-    prints = materialise(id_and_text(df, id_col, text_col).mapInArrow(run, "doc_id long, fingerprint binary, weight long"), "simhash")
-    classes = prints.groupBy("fingerprint").agg(F.min(named(F.col("doc_id"))).alias("class_id"), F.min("weight").alias("weight"))
-    classes = materialise(classes.select("class_id", "fingerprint", "weight"), "classes")
-    cosine = 2 * similarity / (1 + similarity)
-    agree = 1 - math.acos(cosine) / math.pi
-    radius = round(WIDE * (1 - agree) + 3 * math.sqrt(WIDE * agree * (1 - agree)))
-    component = connected_components(links(classes, sampled_keys(WIDE, agree, classes.count(), recall), radius, similarity))
-    by_print = classes.join(component, classes["class_id"] == component["node"], "left").select("fingerprint", F.coalesce("component", "class_id").alias("component_id"))
-    return prints.join(by_print, "fingerprint").select("doc_id", F.nullif("component_id", F.lit(2**63 - 1)).alias("component_id"))
-
-
 def without_near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = 0.8) -> DataFrame:
-    """The rows of df that stay, one id of each component (the smallest), with all their columns."""
-    found = materialise(similar_documents(df, id_col, text_col, words, similarity), "components")
-    lost = found.filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__id")).distinct()
-    return df.join(lost, df[id_col].cast("long").eqNullSafe(lost["__id"]), "left_anti")
+    """The rows of df that stay, one of each component of texts that are exactly as similar, with all their columns."""
+    from namesake.llm import shingle_sets  # which compares by the bit planes of this module
+
+    return shingle_sets.without_near_copies(df, id_col, text_col, words, similarity)
