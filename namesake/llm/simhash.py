@@ -5,9 +5,8 @@ blocks by keys, that is by some of their bits.  Within a block the bits are stor
 each position.  The distances from one fingerprint to 64 others grow at once: carry-save adders count the differing
 planes into vertical counters, and a word of 64 lanes is abandoned once all of its lanes exceed the radius.
 
-Two sets of keys are given.  `pigeonhole_keys` are exact: of radius + 3 parts of the bits at least three agree for a
-link, so every choice of three parts is a key.  `sampled_keys` hold a recall for a similarity: bits are drawn for each
-key, as many keys as the recall takes.  Links of a block are given as a spanning forest, never as all pairs; a block
+`pigeonhole_keys` are exact: of radius + 3 parts of the bits at least three agree for a link, so every choice of three
+parts is a key.  Links of a block are given as a spanning forest, never as all pairs; a block
 over BLOCK_LIMIT is cut into sub-blocks of which each pair is compared, so that none is lost.
 
 Cases: null text is empty; a text without words has fingerprint zero and links like any other; with fewer words than a
@@ -18,7 +17,6 @@ and stay or go together; an empty table gives none; null ids lose to any other;
 from __future__ import annotations
 
 import itertools
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,8 +29,6 @@ from namesake.llm.components import connected_components
 
 #: Most fingerprints that are compared in one piece; larger blocks are compared by pairs of halves of it.
 BLOCK_LIMIT = 8192
-#: Fingerprints a block holds on average, by which the number of sampled bits follows the data.
-BLOCK_MEAN = 256
 SEED = 42
 _ASCII_LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
@@ -132,16 +128,6 @@ def pigeonhole_keys(size: int, radius: int) -> list[list[int]]:
     return [sum(chosen, []) for chosen in itertools.combinations(parts, 3)]
 
 
-def sampled_keys(size: int, agree: float, n: int, recall: float = 0.99) -> list[list[int]]:
-    """Keys for links whose bits agree with this probability, over n fingerprints: bits so that a block holds
-    BLOCK_MEAN on average, and as many keys as the recall takes.  Drawn with a fixed seed."""
-    bits = max(1, min(24, math.ceil(math.log2(max(2, n / BLOCK_MEAN)))))
-    keys = math.ceil(math.log(1 - recall) / math.log(1 - agree**bits))
-    rng = np.random.default_rng(SEED)
-    order = np.concatenate([rng.permutation(size) for _ in range(-(-bits * keys // size))])
-    return [sorted(set(order[i * bits : (i + 1) * bits].tolist())) for i in range(keys)]
-
-
 def bit_planes(prints: np.ndarray) -> np.ndarray:
     """(fingerprints, words) -> (bits, lanes / 64): bit i of every fingerprint side by side."""
     m, words = prints.shape

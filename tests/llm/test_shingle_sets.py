@@ -92,6 +92,15 @@ def test_common_lines_and_a_large_group(spark):
     check(spark, rows)
 
 
+def test_the_table_around_does_not_matter(spark):
+    """Two texts link among few rows and among many."""
+    pair = [(1, " ".join(f"p{k}" for k in range(9)), "a"), (2, " ".join(f"p{k}" for k in range(8)), "a")]
+    rng = np.random.default_rng(2)
+    others = [(10 + i, " ".join(f"o{x}" for x in rng.integers(0, 10**6, 30)), "a") for i in range(1500)]
+    check(spark, pair)
+    check(spark, pair + others)
+
+
 @pytest.mark.parametrize("m", [2, 40, 300])
 def test_blocks_lose_no_pair(m):
     """All pairs at the threshold whose first common shingle makes the block are found, bit-sliced or not."""
