@@ -4,6 +4,8 @@ import pytest
 import corpus_pipeline
 from namesake.llm import bpe_codec, quality
 
+from .test_shingle_sets import kept_ids
+
 SF = "/root/testdata/sf0.001"
 
 
@@ -57,6 +59,13 @@ def test_near_copies_go_and_others_stay(stages):
         assert max(near(lost, other) for other in sets if other != lost) >= 0.65
 
 
+def test_near_copies_are_the_exact_components(stages):
+    """The least id of each component of true five-word similarity 0.8, and nothing else, stays."""
+    _, before, after = stages[2]
+    rows = [(r["doc_id"], r["text"], None) for r in before.collect()]
+    assert sorted((i is None, i or 0) for i in ids(after)) == kept_ids(rows)
+
+
 def shingles(text):
     words = text.lower().split()
     return {" ".join(words[i : i + 5]) for i in range(max(1, len(words) - 4))}
