@@ -101,6 +101,17 @@ def test_the_table_around_does_not_matter(spark):
     check(spark, pair + others)
 
 
+def test_null_and_repeated_ids(spark):
+    """A near copy under a null or repeated id takes no other row of that id with it."""
+    text = lambda name, n=60: " ".join(f"{name}{k}" for k in range(n))
+    near = lambda name: text(name, 59)
+    rows = [(1, text("a"), "a"), (None, near("a"), "a"), (None, text("b"), "a"), (7, near("a"), "a"), (7, text("c"), "a"), (8, text("d"), "a"), (8, near("d"), "a"), (9, text("e"), "a"), (9, text("e"), "a")]
+    kept = sh.without_near_copies(table(spark, rows)).select("doc_id", "text").collect()
+    firsts = sorted(r["text"].split()[0] for r in kept)
+    assert firsts == ["a0", "b0", "c0", "d0", "e0"]
+    assert {(r["doc_id"], r["text"]) for r in kept} >= {(1, text("a")), (None, text("b")), (7, text("c")), (9, text("e"))}
+
+
 @pytest.mark.parametrize("m", [2, 40, 300])
 def test_blocks_lose_no_pair(m):
     """All pairs at the threshold whose first common shingle makes the block are found, bit-sliced or not."""
