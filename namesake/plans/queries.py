@@ -407,12 +407,9 @@ def er_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("ref_id", "target_id", "cand_pos", *[F.round(c, 6).alias(c) for c in ("score", "name_score", "address_score")])
 
 
-#: Candidates of a reference in the queries on features: the operator's own limit.
-FEW = 4
-
-
-def _few(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return retrieval.candidates(*_parts(spark, sf_dir), top_k=FEW, max_block=BLOCK, extra=False).select("ref_id", "target_id", "cand_pos")
+def _candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole candidate groups that the matcher uses, with production limits."""
+    return retrieval.candidates(*_parts(spark, sf_dir)).select("ref_id", "target_id", "cand_pos")
 
 
 def _rounded(rows: DataFrame, names: list[str]) -> DataFrame:
@@ -420,28 +417,28 @@ def _rounded(rows: DataFrame, names: list[str]) -> DataFrame:
 
 
 def er_pair_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = features.pair_features(_few(spark, sf_dir), *_parts(spark, sf_dir))
+    rows = features.pair_features(_candidates(spark, sf_dir), *_parts(spark, sf_dir))
     return _rounded(rows, [*features.BASE, *features.RARITY])
 
 
 def er_group_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Context and posterior features; a stand-in score takes the first stage's place."""
     refs, targets = _parts(spark, sf_dir)
-    rows = features.pair_features(_few(spark, sf_dir), refs, targets)
+    rows = features.pair_features(_candidates(spark, sf_dir), refs, targets)
     rows = context.context_features(rows, targets).withColumn("probability", (0.5 * F.col("name_sorted") + 0.5 * F.col("address_sorted")).cast("float"))
     return _rounded(context.posterior_features(rows, targets), [*context.CONTEXT, *context.POSTERIOR])
 
 
 def er_competition_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     refs, targets = _parts(spark, sf_dir)
-    return _rounded(competition.competition_features(_few(spark, sf_dir), competition.competition_table(refs, targets), refs, targets), competition.COMPETITION)
+    return _rounded(competition.competition_features(_candidates(spark, sf_dir), competition.competition_table(refs, targets), refs, targets), competition.COMPETITION)
 
 
 def er_robust_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     refs, targets = _parts(spark, sf_dir)
     of = lambda field: robust.canonical(targets).select(F.col("eid").alias("id"), F.col(field).alias("value"))
     weights = robust.fit_weights(of("name")), robust.fit_weights(of("address"))
-    rows = robust.robust_pair_features(_few(spark, sf_dir), refs, targets, *weights).withColumn("probability", F.col("canonical_name_sorted").cast("float"))
+    rows = robust.robust_pair_features(_candidates(spark, sf_dir), refs, targets, *weights).withColumn("probability", F.col("canonical_name_sorted").cast("float"))
     return _rounded(robust.seed_features(rows, targets, *weights), robust.ROBUST)
 
 
