@@ -1,8 +1,8 @@
 """Exact deduplication: a tree merge of digest runs, in DataFrame operations only.
 
-Rows are dealt into runs by a hash of their id.  A run is the sorted, merged list of its digests, each with the
-identifier that stays so far and the number of rows.  In every round runs meet in groups of FAN_IN, as in a binomial
-tree, and their lists are merged: for each digest the best identifier is kept and the counts are added.  A group of
+Rows are dealt into runs by a hash of their id.  A run has its digests once each, with the identifier that stays so far
+and the number of rows.  In every round runs meet in groups of FAN_IN, as in a binomial tree, and are merged by Spark's
+own aggregation, which stands in for a merge of sorted lists: for each digest the best identifier is kept and the counts are added.  A group of
 copies, however large, is one row a run from the start and never meets in one place.  Equality is verified at each
 level: rows merge only if SHA-256, a second hash and the length all agree.  Winners go back to the rows by way of the
 first level's runs, so no join key is hot either.
