@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,14 +33,70 @@ def shuffle_parts(spark: SparkSession) -> int:
 
 
 def work_dir(spark: SparkSession, name: str) -> str:
-    """A new path in the folder that the cluster shares; it is set here only where the session has none."""
+    """A new path in the folder that the cluster shares.  Only a local session without one gets a folder of its own."""
     top = spark.conf.get("spark.checkpoint.dir", None)
     if not top:
+        master = spark.conf.get("spark.master", "")
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError("spark.checkpoint.dir must name a folder that the whole cluster shares")
         import tempfile
 
         top = "file://" + tempfile.mkdtemp(prefix="checkpoints-")
         spark.conf.set("spark.checkpoint.dir", top)
-    return f"{top.rstrip('/')}/namesake/{name}-{uuid.uuid4().hex}"
+    return f"{top.rstrip('/')}/namesake/{spark.conf.get('spark.app.id', 'app')}/{name}-{uuid.uuid4().hex}"
+
+
+def clear_work(spark: SparkSession) -> None:
+    """Deletes what this application's operators have written to the shared folder: once their results are read, as
+    results read these files when they are used."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(work_dir(spark, "x")).getParent()
+    path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """Names for helper columns that df does not have: those given, with as many underscores before them as it takes."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name in taken:
+            name = "_" + name
+        out.append(name)
+    return out
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value) with the value computed once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+#: Elements that running_sums adds in one go, and how often it groups them: 32 ** 4 elements cost 64 additions each.
+SUMMED, LEVELS = 32, 3
+
+
+def running_sums(numbers: Column, levels: int = LEVELS) -> Column:
+    """For an array of longs the sums of what stands before each element.
+
+    An array that grows by one element a step is copied each time, which takes the square of its length.  Here groups
+    of SUMMED are summed, the sums before each group come from the same way over the groups' sums, and each element
+    adds only those before it in its own group.
+    """
+    total = lambda xs: F.aggregate(xs, F.lit(0).cast("long"), lambda s, x: s + x)
+    before = lambda xs: F.transform(xs, lambda x, i: total(F.slice(xs, F.lit(1), i)))
+    if not levels:
+        return before(numbers)
+
+    def grouped(groups: Column) -> Column:
+        return let(
+            running_sums_of(F.transform(groups, total), levels - 1),
+            lambda starts: F.flatten(F.transform(groups, lambda g, k: F.transform(before(g), lambda s: s + F.get(starts, k)))),
+        )
+
+    last = F.floor((F.size(numbers) - 1) / SUMMED).cast("int")
+    cut = F.transform(F.sequence(F.lit(0), last), lambda g: F.slice(numbers, g * SUMMED + 1, F.lit(SUMMED)))
+    return F.when(F.size(numbers) == 0, F.array().cast("array<bigint>")).otherwise(let(cut, grouped))
+
+
+def running_sums_of(numbers: Column, levels: int) -> Column:
+    return let(numbers, lambda xs: running_sums(xs, levels))
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
