@@ -1,6 +1,7 @@
 """Chat formatting in Spark expressions only.
 
-Turn structs are sorted, adjacent turns of one role share a block, and array functions concatenate the pieces:
+A conversation's turn structs are collected and sorted, adjacent turns of one role are merged into a block by array
+aggregation over the sorted structs, and array functions concatenate the pieces:
 
     <turn|ROLE>text<sep>text of the next turn of the same role</turn>\n
 
@@ -10,14 +11,19 @@ markers.
 
 Cases: null text or role is empty; turns of equal number are ordered by role and text, null numbers first; rows that
 repeat a turn are turns of their own; an empty table gives none; a null conv_id is a conversation; further columns are
-ignored.
+ignored; a conversation and its formatted text must each fit one row; formatting takes near linear
+time in a conversation's length, and reading looks for each masked span from the start of the text.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from namesake.llm.common import let, running_sums
+
+END = "</turn>\n"
+
 
 def escaped(text: Column) -> Column:
     return F.replace(F.replace(text, F.lit("\\"), F.lit("\\b")), F.lit("<"), F.lit("\\l"))
@@ -28,23 +34,35 @@ def unescaped(text: Column) -> Column:
 
 
 def format_chats(df: DataFrame, trained: str = "assistant", conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> DataFrame:
-    """conv_id, formatted, loss (array of start, length in code points): one row for each conversation."""
+    """conv_id, formatted, loss (array of start from 1, length, in code points): one row for each conversation."""
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
     role = F.coalesce(F.col(f"`{role_col}`").cast("string"), F.lit(""))
-    turns = df.select(F.col(f"`{conv_col}`").cast("long").alias("conv_id"), F.col(f"`{turn_col}`").cast("long").alias("turn"), role.alias("role"), text.alias("text"))
-    order = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
-    turns = turns.withColumns({"nth": F.row_number().over(order), "before": F.lag("role").over(order)})
-    head = F.concat(F.lit("<turn|"), F.replace(escaped(F.col("role")), F.lit(">"), F.lit("\\g")), F.lit(">"))
-    mark = F.when(F.col("before").isNull(), head).when(F.col("before") == F.col("role"), F.lit("<sep>")).otherwise(F.concat(F.lit("</turn>\n"), head))
-    turns = turns.select("conv_id", "nth", "role", mark.alias("mark"), escaped(F.col("text")).alias("body"))
-    end = F.sum(F.length("mark") + F.length("body")).over(Window.partitionBy("conv_id").orderBy("nth").rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    turns = turns.withColumn("start", end - F.length("body"))
-    span = F.when(F.col("role") == trained, F.struct((F.col("start") + 1).cast("long").alias("start"), F.length("body").cast("long").alias("length")))
-    piece = F.struct("nth", F.concat("mark", "body").alias("piece"), span.alias("span"))
-    sorted_turns = turns.groupBy("conv_id").agg(F.array_sort(F.collect_list(piece)).alias("turns"))
-    formatted = F.concat(F.array_join(F.transform("turns", lambda t: t["piece"]), ""), F.lit("</turn>\n"))
-    loss = F.filter(F.transform("turns", lambda t: t["span"]), lambda s: s.isNotNull())
-    return sorted_turns.select("conv_id", formatted.alias("formatted"), loss.alias("loss"))
+    turn = F.struct(F.col(f"`{turn_col}`").cast("long").alias("turn"), role.alias("role"), text.alias("text"))
+    chats = df.select(F.col(f"`{conv_col}`").cast("long").alias("conv_id"), turn.alias("one")).groupBy("conv_id").agg(F.array_sort(F.collect_list("one")).alias("turns"))
+    chats = chats.select("conv_id", "turns", merged("turns").alias("blocks"))
+    head = lambda b, nth: F.concat(F.when(nth > 0, F.lit(END)).otherwise(""), F.lit("<turn|"), F.replace(escaped(b["role"]), F.lit(">"), F.lit("\\g")), F.lit(">"))
+    piece = lambda b, nth, t, i: F.struct(F.when(i == 0, head(b, nth)).otherwise("<sep>").alias("mark"), escaped(t).alias("body"), (b["role"] == trained).alias("masked"))
+    pieces = F.transform("blocks", lambda b, nth: F.transform(b["texts"], lambda t, i: piece(b, nth, t, i)))
+    chats = chats.select("conv_id", F.flatten(pieces).alias("pieces"))
+    sizes = F.transform("pieces", lambda p: (F.length(p["mark"]) + F.length(p["body"])).cast("long"))
+    chats = chats.withColumn("sizes", sizes).withColumn("before", running_sums(F.col("sizes")))
+    formatted = F.concat(F.array_join(F.transform("pieces", lambda p: F.concat(p["mark"], p["body"])), ""), F.lit(END))
+    spans = F.transform("pieces", lambda p, i: F.when(p["masked"], F.struct((F.get("before", i) + F.length(p["mark"]) + 1).alias("start"), F.length(p["body"]).cast("long").alias("length"))))
+    return chats.select("conv_id", formatted.alias("formatted"), F.filter(spans, lambda s: s.isNotNull()).alias("loss"))
+
+
+def merged(turns: str) -> Column:
+    """Blocks (role, texts) of adjacent turns of one role, from sorted turn structs: each from where the role changes to
+    the next such place."""
+    role = lambda i: F.get(turns, i)["role"]
+    heads = F.filter(F.sequence(F.lit(0), F.size(turns) - 1), lambda i: (i == 0) | (role(i) != role(i - 1)))
+
+    def blocks(found: Column) -> Column:
+        until = lambda k: F.coalesce(F.get(found, k + 1), F.size(turns))
+        texts = lambda i, k: F.transform(F.slice(turns, i + 1, until(k) - i), lambda t: t["text"])
+        return F.transform(found, lambda i, k: F.struct(role(i).alias("role"), texts(i, k).alias("texts")))
+
+    return let(heads, blocks)
 
 
 def read_chats(formatted: DataFrame) -> DataFrame:
