@@ -1,6 +1,7 @@
 from hashlib import sha256
 
 import pytest
+from pyspark.sql import functions as F
 
 from namesake.llm import exact_dedup as ed
 
@@ -48,3 +49,26 @@ def test_native(docs):
 def test_keep_is_checked(docs):
     with pytest.raises(ValueError):
         ed.duplicate_groups(docs, keep="any")
+
+
+def test_names_of_helpers_do_not_clash(spark):
+    df = spark.createDataFrame([(1, "a", 5, "x", "y"), (2, "A", 6, "z", "w"), (3, "b", 7, "u", "v")], "doc_id long, text string, ID int, digest string, _digest string")
+    kept = ed.deduplicated(df)
+    assert kept.columns == df.columns and sorted(kept.select("doc_id", "ID", "digest", "_digest").collect()) == [(2, 6, "z", "w"), (3, 7, "u", "v")]
+
+
+@pytest.mark.parametrize("keep", ["max", "min"])
+def test_runs_are_sorted_lists_merged_in_rounds(spark, monkeypatch, keep):
+    """Many small segments, more than eight runs and three exchanges: the same as plain grouping, by way of sorted lists."""
+    monkeypatch.setattr(ed, "SEGMENT", 7)
+    rows = [(None if i % 50 == 0 else (i * 37) % 600 - 300, f"text {i % 90}" if i % 4 else "hot", "a") for i in range(700)]
+    got = ed.duplicate_groups(table(spark, rows), keep=keep, runs=300).collect()
+    assert sorted((str(r["doc_id"]), str(r["keep_id"]), r["group_size"], r["kept"], r["text_sha256"]) for r in got) == brute(rows, max if keep == "max" else min)
+
+
+def test_equal_keys_merge_and_others_do_not(spark):
+    entry = "struct<digest:binary,check:bigint,size:int,unnamed:boolean,order:bigint,doc_id:bigint,copies:bigint,n:bigint>"
+    rows = [(b"a", 1, 1, False, -9, 9, 1, 4), (b"a", 1, 1, False, -2, 2, 1, 1), (b"a", 2, 1, False, -8, 8, 1, 1), (b"b", 1, 1, False, -1, 1, 2, 3)]
+    df = spark.createDataFrame([(rows,), ([],)], f"entries array<{entry}>")
+    got = [[(e["doc_id"], e["n"]) for e in r[0]] for r in df.select(ed.first_of_each(F.col("entries"), 8)).collect()]
+    assert got == [[(9, 5), (8, 1), (1, 3)], []]
