@@ -81,22 +81,16 @@ def running_sums(numbers: Column, levels: int = LEVELS) -> Column:
     """
     total = lambda xs: F.aggregate(xs, F.lit(0).cast("long"), lambda s, x: s + x)
     before = lambda xs: F.transform(xs, lambda x, i: total(F.slice(xs, F.lit(1), i)))
-    if not levels:
-        return before(numbers)
 
     def grouped(groups: Column) -> Column:
-        return let(
-            running_sums_of(F.transform(groups, total), levels - 1),
-            lambda starts: F.flatten(F.transform(groups, lambda g, k: F.transform(before(g), lambda s: s + F.get(starts, k)))),
-        )
+        each = lambda starts: F.flatten(F.transform(groups, lambda g, k: F.transform(before(g), lambda s: s + F.get(starts, k))))
+        return let(running_sums(F.transform(groups, total), levels - 1), each)
 
-    last = F.floor((F.size(numbers) - 1) / SUMMED).cast("int")
-    cut = F.transform(F.sequence(F.lit(0), last), lambda g: F.slice(numbers, g * SUMMED + 1, F.lit(SUMMED)))
-    return F.when(F.size(numbers) == 0, F.array().cast("array<bigint>")).otherwise(let(cut, grouped))
+    def cut(xs: Column) -> Column:
+        groups = F.transform(F.sequence(F.lit(0), F.floor((F.size(xs) - 1) / SUMMED).cast("int")), lambda g: F.slice(xs, g * SUMMED + 1, F.lit(SUMMED)))
+        return F.when(F.size(xs) <= SUMMED, before(xs)).otherwise(let(groups, grouped))
 
-
-def running_sums_of(numbers: Column, levels: int) -> Column:
-    return let(numbers, lambda xs: running_sums(xs, levels))
+    return let(numbers, cut if levels else before)
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:

@@ -7,19 +7,22 @@ an instance's is the noisy-or over its patterns.  Instances that reach CONFIDENT
 the end patterns of high confidence mark their remaining instances, which no base expression has found.
 
 Expressions are written so that they run in linear time and without recursion on any text: starts inside a run that has
-failed are not tried, and group repetitions are possessive.  Positions are code points, ends exclusive.
+failed are not tried, and group repetitions are possessive.  Positions are running sums of the lengths of matches and of
+the gaps between them, and tokens meet spans by one sorted pass over both, so a text with many identifiers takes near
+linear time too.  Positions are code points, ends exclusive.
 
 Cases: null text is empty and has no spans; rows that repeat an id are told apart by their text's hash, and rows that
-repeat both give a row each with equal spans; an empty table gives none; null ids stay null; further columns are
+repeat both give a row each with equal spans; an empty table gives none; null ids stay null; the word before an
+identifier is taken whole, however long it is or far away, unless another identifier comes between; further columns are
 ignored.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from namesake.llm.common import materialise
+from namesake.llm.common import let, materialise, running_sums
 
 KINDS = ["email", "ip", "card", "phone"]
 #: Each gives the matches of the kind's plain expression, from left to right without overlap.
@@ -34,25 +37,26 @@ EXPRESSIONS = {
 NEEDS = {"email": "@", "ip": ".", "card": None, "phone": "+"}
 SPACE = r"\x20\x09-\x0D"
 CANDIDATE = rf"(?<![^{SPACE}])[^{SPACE}0-9@]*+[0-9@][^{SPACE}]*+"
+LAST_WORD = rf"(?<![^{SPACE}])([^{SPACE}]++)[{SPACE}]*+$"
 #: Rounds, the confidence from which patterns and instances are believed, and the distinct seeds a pattern needs.
 ROUNDS, CONFIDENT, SUPPORT = 3, 0.8, 5
 SPAN = "array<struct<start:bigint,end:bigint,value:string,gap:string>>"
 
 
 def located(text: Column, expression: str) -> Column:
-    """Array of start, end, value of the matches, and the last 80 characters of the gap before each."""
-    found = F.regexp_extract_all(text, F.lit(expression), F.lit(0))
-    gaps = F.split(text, expression, -1)
+    """Array of start, end, value of the matches, and the gap before each."""
 
-    def step(state: Column, match: Column) -> Column:
-        start = state["at"] + F.length(match["gap"])
-        end = start + F.length(match["value"])
-        span = F.struct(start.alias("start"), end.alias("end"), match["value"].alias("value"), F.right(match["gap"], F.lit(80)).alias("gap"))
-        return F.struct(end.alias("at"), F.concat(state["out"], F.array(span)).alias("out"))
+    def spans(found: Column, gaps: Column) -> Column:
+        size = F.transform(found, lambda value, i: (F.length(F.get(gaps, i)) + F.length(value)).cast("long"))
 
-    none = F.array().cast(SPAN)
-    pairs = F.transform(found, lambda value, i: F.struct(value.alias("value"), F.get(gaps, i).alias("gap")))
-    return F.aggregate(pairs, F.struct(F.lit(0).cast("long").alias("at"), none.alias("out")), step, lambda state: state["out"])
+        def at(before: Column) -> Column:
+            start = lambda i: F.get(before, i) + F.length(F.get(gaps, i))
+            return F.transform(found, lambda value, i: F.struct(start(i).alias("start"), (start(i) + F.length(value)).alias("end"), value.alias("value"), F.get(gaps, i).alias("gap")))
+
+        return let(running_sums(size), at)
+
+    some = lambda found: F.when(F.size(found) == 0, F.array().cast(SPAN)).otherwise(let(F.split(text, expression, -1), lambda gaps: spans(found, gaps)))
+    return let(F.regexp_extract_all(text, F.lit(expression), F.lit(0)), some)
 
 
 def valid(kind: str, value: Column) -> Column:
@@ -103,7 +107,7 @@ def occurrences(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
     rows = df.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), text.alias("text"))
     bare = lambda spans: F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["value"].alias("value")))
-    left = lambda gap: F.lower(F.regexp_extract(gap, rf"([^{SPACE}]+)[{SPACE}]*$", 1))
+    left = lambda gap: F.lower(F.regexp_extract(gap, LAST_WORD, 1))
     candidates = F.when(F.col("text").rlike("[0-9@]"), located(F.col("text"), CANDIDATE)).otherwise(F.array().cast(SPAN))
     found = rows.select("doc_id", F.xxhash64("text").alias("text_hash"), *[bare(base_spans(F.col("text"), k)).alias(k) for k in KINDS], candidates.alias("tokens"))
     token = lambda t: F.struct(t["start"].alias("start"), t["end"].alias("end"), core(t["value"]).alias("value"), (t["start"] + F.instr(t["value"], core(t["value"])) - 1).alias("at"), left(t["gap"]).alias("pattern"))
@@ -112,13 +116,27 @@ def occurrences(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 def instances(found: DataFrame) -> DataFrame:
     """doc_id, text_hash, start, end, value, pattern, seed (kind of the base span that starts in the token, or null),
-    inside (the token overlaps a base span).  The value of a seed is its whole span, that of others the bare token."""
-    rows = found.select("doc_id", "text_hash", kind_spans("value").alias("spans"), F.explode("tokens").alias("t"))
-    touching = F.filter("spans", lambda s: (s["start"] < F.col("t.end")) & (s["end"] > F.col("t.start")))
-    opened = F.filter(touching, lambda s: s["start"] >= F.col("t.start"))
-    return rows.select(
-        "doc_id", "text_hash", F.col("t.at").alias("start"), (F.col("t.at") + F.length("t.value")).alias("end"), F.coalesce(F.get(opened, F.lit(0))["value"], F.col("t.value")).alias("value"), F.col("t.pattern").alias("pattern"),
-        F.get(opened, F.lit(0))["kind"].alias("seed"), (F.size(touching) > 0).alias("inside"),
+    inside (the token overlaps a base span).  The value of a seed is its whole span, that of others the bare token.
+
+    Tokens and spans of a text are read in the order of their starts: a span belongs to the last token that starts at or
+    before it, and a token is inside if an earlier span reaches beyond its start or one starts in it.
+    """
+    text = ["doc_id", "text_hash"]
+    none = lambda kind: F.lit(None).cast(kind)
+    tokens = found.select(*text, F.explode("tokens").alias("t")).select(*text, F.col("t.start").alias("from"), F.lit(0).alias("is_span"), F.col("t.end").alias("to"), "t", none("struct<rank:int,from:bigint,kind:string,value:string>").alias("span"))
+    ranked = F.array_position(F.array(*map(F.lit, KINDS)), F.col("s.kind")).cast("int")
+    spans = found.select(*text, F.explode(kind_spans("value")).alias("s")).select(*text, F.col("s.start").alias("from"), F.lit(1).alias("is_span"), F.col("s.end").alias("to"), none(tokens.schema["t"].dataType).alias("t"), F.struct(ranked.alias("rank"), F.col("s.start").alias("from"), F.col("s.kind").alias("kind"), F.col("s.value").alias("value")).alias("span"))
+    so_far = Window.partitionBy(*text).orderBy("from", "is_span").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    swept = tokens.unionByName(spans).withColumns({
+        "token": F.last(F.when(F.col("is_span") == 0, F.struct("from", "to")), ignorenulls=True).over(so_far),
+        "reach": F.max(F.when(F.col("is_span") == 1, F.col("to"))).over(so_far),
+    })
+    one = swept.filter("token IS NOT NULL").groupBy(*text, F.col("token.from").alias("token")).agg(
+        F.first("t", ignorenulls=True).alias("t"), F.min(F.when(F.col("span.from") < F.col("token.to"), F.col("span"))).alias("opened"), F.max(F.when(F.col("is_span") == 0, F.col("reach"))).alias("reach"),
+    )
+    return one.select(
+        *text, F.col("t.at").alias("start"), (F.col("t.at") + F.length("t.value")).alias("end"), F.coalesce("opened.value", "t.value").alias("value"), F.col("t.pattern").alias("pattern"),
+        F.col("opened.kind").alias("seed"), (F.col("opened").isNotNull() | F.coalesce(F.col("reach") > F.col("token"), F.lit(False))).alias("inside"),
     )
 
 
