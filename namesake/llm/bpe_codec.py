@@ -17,14 +17,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from namesake.llm.common import id_and_text
-from namesake.llm.words import WordMemo, library, packer, special_strings, vocabulary_path, whitespace_free
-
-
-#: Words a codec remembers; it holds two models beside them.
-CODEC_WORDS = 300_000
+from namesake.llm.words import WordEncoder, by_words, library, slices, special_strings, vocabulary_path
 
 
 def forced_pairs(vocab: list[str], suffix: str) -> set[str]:
@@ -48,8 +45,8 @@ class Codec:
     """encode(text) -> ids as the library gives them (no special tokens added); decode(ids) -> text as the library does."""
 
     def __init__(self, path: str):
-        if not whitespace_free(path):
-            raise ValueError(f"{path}: forced boundaries are proven for vocabularies that drop white space only")
+        if not by_words(path):
+            raise ValueError(f"{path}: forced boundaries are proven for vocabularies with the normaliser and pre-tokenizer in words.py only")
         from tokenizers import models
 
         tok = library(path)
@@ -81,21 +78,32 @@ class Codec:
                 text = text[at[0] + len(at[1]) :]
             return out
 
-        self.dtype = "<u2" if max(self.token) < 65536 else "<u4"
-        self.memo = WordMemo(encode, encode_piece, packer(self.dtype), b"".join, specials, limit=CODEC_WORDS)
-
-    def packed(self, text: str) -> bytes:
-        self.memo.trim()
-        return b"".join(map(self.memo.__getitem__, text.encode().split()))
+        self.encoder = WordEncoder(encode, encode_piece, "<u2" if max(self.token) < 65536 else "<u4")
+        strings = [self.token.get(i, "") for i in range(max(self.token) + 1)]
+        self.strings, self.decimal = pa.array(strings, pa.large_string()), pa.array(map(str, range(len(strings))), pa.large_string())
 
     def encode(self, text: str) -> np.ndarray:
-        return np.frombuffer(self.packed(text), self.dtype)
+        return self.encoder.batch(pa.array([text], pa.string()))[0]
 
     def decode(self, ids: list[int]) -> str:
         """Without a decoder in the file the library puts single spaces between the token strings."""
         words = [self.token[i] for i in ids]
         return " ".join(words) if self.decoder is None else self.decoder.decode(words)
 
+    def digests(self, texts: pa.Array) -> Iterator[tuple[int, str, str]]:
+        """Number of ids, SHA-256 of the decimal ids and of the decoded text, of each text."""
+        from hashlib import sha256
+
+        for at, size in slices(texts):
+            ids, counts = self.encoder.batch(texts.slice(at, size))
+            ends = np.cumsum(counts)
+            offsets = np.concatenate([[0], ends]).astype(np.int32)
+            spaced = lambda strings: pc.binary_join(pa.ListArray.from_arrays(pa.array(offsets), strings.take(pa.array(ids)).cast(pa.string())), " ")  # noqa: E731, B023
+            decimal = spaced(self.decimal)
+            decoded = spaced(self.strings) if self.decoder is None else pa.array([self.decode(ids[e - n : e].tolist()) for e, n in zip(ends, counts, strict=True)], pa.string())
+            for n, x, y in zip(counts.tolist(), decimal, decoded, strict=True):
+                yield n, sha256(x.as_buffer()).hexdigest(), sha256(y.as_buffer()).hexdigest()
+
 
 _codecs: dict[str, Codec] = {}
 
@@ -113,10 +121,9 @@ def encode_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(path)
         for b in batches:
-            arrays = [c.encode(t).astype(np.int32) for t in b.column(1).to_pylist()]
-            ends = np.cumsum([0, *map(len, arrays)], dtype=np.int32)
-            ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(arrays) if arrays else np.zeros(0, np.int32)))
-            yield pa.RecordBatch.from_arrays([b.column(0), ids], names=["doc_id", "ids"])
+            for at, ids, counts in c.encoder.batches(b.column(1)):
+                ends = pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32))
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(at, len(counts)), pa.ListArray.from_arrays(ends, pa.array(ids.astype(np.int32)))], names=["doc_id", "ids"])
 
     return id_and_text(df, id_col, text_col).mapInArrow(run, "doc_id long, ids array<int>")
 
@@ -138,17 +145,9 @@ def round_trip_digests(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     path = path or vocabulary_path()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from hashlib import sha256
-
         c = codec(path)
-        decimal = {i: str(i) for i in c.token}
         for b in batches:
-            n, of_ids, of_text = [], [], []
-            for t in b.column(1):
-                ids = c.encode(t.as_py()).tolist()
-                n.append(len(ids))
-                of_ids.append(sha256(" ".join(map(decimal.__getitem__, ids)).encode()).hexdigest())
-                of_text.append(sha256(c.decode(ids).encode()).hexdigest())
+            n, of_ids, of_text = zip(*c.digests(b.column(1)), strict=True) if len(b) else ([], [], [])
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(of_ids, pa.string()), pa.array(of_text, pa.string())], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     return id_and_text(df, id_col, text_col).mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

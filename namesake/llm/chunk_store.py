@@ -3,13 +3,16 @@
 A rolling hash over the last WINDOW ids cuts each document's id stream into chunks, so equal passages give equal chunks
 wherever they stand.  A chunk's SHA-256 is its address and each is stored once; a document is a recipe, the list of its
 chunks' addresses, and has the Merkle root over them.  A manifest holds a root for each range of documents and one over
-these.  Reading verifies every chunk against its address and every document against its root.
+these.  Reading verifies every chunk against its address, every document against its root and every range of
+documents against the manifest.
 
-Layout under one path: objects/kind=1 (digest, data), recipes (doc_id, start, n_tokens, digests, root; files in
-ascending order of doc_id), manifest (bucket, first_doc, documents, ids, root).
+Layout under one path: objects/kind=1 (digest, data; in the order of the addresses' hashes), recipes (bucket, nth,
+doc_id, start, n_tokens, digests, root; files in ascending order of doc_id), manifest (bucket, first_doc, documents, ids,
+root).  A chunk's data are ids of 2 bytes each where the vocabulary has at most 65,536, else a byte 255 and ids of 4.
 
-Cases: null text is empty and holds the end id alone; rows that repeat a doc_id each have a recipe, ordered by root;
-an empty table gives an empty store; null ids sort first; further columns are ignored.
+Cases: null text is empty and holds the end id alone (without an end id: nothing, with a recipe of no chunks); rows that
+repeat a doc_id each have a recipe, ordered by root; an empty table gives an empty store; null ids sort first; further
+columns are ignored; a very long text is one document of many chunks, encoded in one task.
 """
 
 from __future__ import annotations
@@ -26,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from namesake.llm.common import id_and_text, ordered_bucket, shuffle_parts, work_dir
-from namesake.llm.words import packed_ids, vocabulary_path
+from namesake.llm.words import encoder, vocabulary_path
 
 #: Ids that decide a cut, least, mean (a power of two) and most ids of a chunk.
 WINDOW, LEAST, MEAN, MOST = 16, 128, 512, 4096
@@ -100,6 +103,18 @@ def crc_join(parts: list[tuple[int, int]]) -> int:
     return crc
 
 
+def with_end(ids: np.ndarray, counts: np.ndarray, end_id: int | None) -> np.ndarray:
+    """The ids of documents one after another, each with the end id behind it."""
+    if end_id is None:
+        return ids
+    out = np.empty(len(ids) + len(counts), ids.dtype if end_id < 1 << 8 * ids.dtype.itemsize else "<u4")
+    ends = np.cumsum(counts) + np.arange(len(counts))
+    own = np.ones(len(out), bool)
+    own[ends] = False
+    out[own], out[ends] = ids, end_id
+    return out
+
+
 def write_store(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", vocabulary: str | None = None, end_id: int | None = END_ID) -> str:
     """Encodes every text, appends end_id (None: nothing) and writes the store.  One exchange carries the chunks' bytes."""
     spark, vocabulary = df.sparkSession, vocabulary or vocabulary_path()
@@ -108,35 +123,47 @@ def write_store(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        encode, seen, rows, task = packed_ids(vocabulary), set(), 0, TaskContext.get().partitionId()
-        tail = b"" if end_id is None else struct.pack("<I", end_id)
+        encode, seen, rows, task = encoder(vocabulary), set(), 0, TaskContext.get().partitionId()
         for b in batches:
-            docs = [encode(t.as_py()) + tail for t in b.column(1)]
-            flat = np.frombuffer(b"".join(docs), "<u4")
-            marks = np.flatnonzero(rolling(flat) % np.uint64(MEAN) == 0) + 1 if len(flat) else flat
-            kind, digest, data, doc, n, digests, roots = [], [], [], [], [], [], []
-            at = 0
-            for doc_id, raw in zip(b.column(0).to_pylist(), docs, strict=True):
-                end = at + len(raw) // 4
-                own = marks[np.searchsorted(marks, at, "right") : np.searchsorted(marks, end)].tolist()
-                addresses, begin = [], at
-                for stop in cut_points(own, at, end):
-                    piece = flat[begin:stop]
-                    begin = stop
-                    chunk = piece.astype("<u2").tobytes() if piece.max() < 65536 else b"\xff" + piece.tobytes()
-                    address = sha256(chunk).digest()
-                    addresses.append(address)
-                    if address not in seen:
-                        if len(seen) >= SEEN:
-                            seen.clear()
-                        seen.add(address)
-                        for column, value in zip((kind, digest, data, doc, n, digests, roots), (1, address, chunk, None, None, None, None), strict=True):
-                            column.append(value)
-                for column, value in zip((kind, digest, data, doc, n, digests, roots), (0, struct.pack(">IQ", task, rows), None, doc_id, end - at, addresses, merkle_root(addresses)), strict=True):
-                    column.append(value)
-                at, rows = end, rows + 1
-            kinds = [pa.int32(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.list_(pa.binary()), pa.binary()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip((kind, digest, data, doc, n, digests, roots), kinds, strict=True)], names=["kind", "digest", "data", "doc_id", "n_tokens", "digests", "root"])
+            for at, ids, counts in encode.batches(b.column(1)):
+                names = ("kind", "digest", "data", "doc_id", "n_tokens", "digests", "root")
+                out = {c: [] for c in names}
+                flat = with_end(ids, counts, end_id)
+                counts = counts + (end_id is not None)
+                wide = flat.dtype.itemsize == 4
+                marks = np.flatnonzero(rolling(flat) % np.uint64(MEAN) == 0) + 1 if len(flat) else flat
+                raw, width, end = memoryview(flat.tobytes()), flat.dtype.itemsize, 0
+                kind, digest, data = out["kind"], out["digest"], out["data"]
+                bounds = np.cumsum(counts)
+                firsts, lasts = np.searchsorted(marks, bounds - counts, "right").tolist(), np.searchsorted(marks, bounds).tolist()
+                marks = marks.tolist()
+                for nth, n in enumerate(counts.tolist()):
+                    begin, end, addresses = end, end + n, []
+                    for stop in cut_points(marks[firsts[nth] : max(firsts[nth], lasts[nth])], begin, end):
+                        chunk = raw[width * begin : width * stop]
+                        chunk = b"\xff" + chunk if wide else bytes(chunk)
+                        begin, address = stop, sha256(chunk).digest()
+                        addresses.append(address)
+                        if address not in seen:
+                            if len(seen) >= SEEN:
+                                seen.clear()
+                            seen.add(address)
+                            kind.append(1)
+                            digest.append(address)
+                            data.append(chunk)
+                    out["digests"].append(addresses)
+                    out["root"].append(merkle_root(addresses))
+                chunks, size = len(kind), len(counts)
+                kind += [0] * size
+                digest += [struct.pack(">IQ", task, rows + i) for i in range(size)]
+                data += [None] * size
+                rows += size
+                none = pa.nulls(chunks, pa.int64())
+                doc = pa.concat_arrays([none, b.column(0).slice(at, size)])
+                n_tokens = pa.concat_arrays([none, pa.array(counts, pa.int64())])
+                lists = pa.array([None] * chunks + out["digests"], pa.list_(pa.binary()))
+                roots = pa.array([None] * chunks + out["root"], pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(kind, pa.int32()), pa.array(digest, pa.binary()), pa.array(data, pa.binary()), doc, n_tokens, lists, roots], names=list(names))
 
     found = id_and_text(df, id_col, text_col).mapInArrow(run, "kind int, digest binary, data binary, doc_id long, n_tokens long, digests array<binary>, root binary")
     alone = Window.partitionBy("kind", "digest").orderBy("digest")
@@ -149,16 +176,17 @@ def write_store(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str
     for bucket, ids in sorted(recipes.groupBy("bucket").agg(F.sum("n_tokens")).collect()):
         offsets[bucket], before = before, before + ids
     offset = F.create_map(*[F.lit(x) for k, v in offsets.items() for x in (k, v)])[F.col("bucket")] if offsets else F.lit(0)
-    running = Window.partitionBy("bucket").orderBy(F.col("doc_id").asc_nulls_first(), "root").rowsBetween(Window.unboundedPreceding, -1)
-    placed = recipes.withColumn("start", (offset + F.coalesce(F.sum("n_tokens").over(running), F.lit(0))).cast("long"))
-    placed = placed.repartitionById(max(offsets, default=0) + 1, F.col("bucket")).sortWithinPartitions("start")
-    placed.select("bucket", "doc_id", "start", "n_tokens", "digests", "root").write.parquet(f"{path}/recipes")
+    order = Window.partitionBy("bucket").orderBy(F.col("doc_id").asc_nulls_first(), "root")
+    ahead = F.sum("n_tokens").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    placed = recipes.withColumns({"start": (offset + F.coalesce(ahead, F.lit(0))).cast("long"), "nth": F.row_number().over(order).cast("long")})
+    placed = placed.repartitionById(max(offsets, default=0) + 1, F.col("bucket")).sortWithinPartitions("nth")
+    placed.select("bucket", "nth", "doc_id", "start", "n_tokens", "digests", "root").write.parquet(f"{path}/recipes")
     manifest(spark, path).write.parquet(f"{path}/manifest")
     return path
 
 
 def recipes(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema("bucket int, doc_id long, start long, n_tokens long, digests array<binary>, root binary").parquet(f"{path}/recipes")
+    return spark.read.schema("bucket int, nth long, doc_id long, start long, n_tokens long, digests array<binary>, root binary").parquet(f"{path}/recipes")
 
 
 def manifest(spark: SparkSession, path: str) -> DataFrame:
@@ -181,9 +209,9 @@ def manifest(spark: SparkSession, path: str) -> DataFrame:
                 stack.append([height + 1, sha256(b"\x01" + left + right).digest()])
             yield pa.RecordBatch.from_pydict({"bucket": pa.array([bucket], pa.int32()), "first_doc": pa.array([first], pa.int64()), "documents": pa.array([documents], pa.int64()), "ids": pa.array([ids], pa.int64()), "root": pa.array([stack[0][1]], pa.binary())})
 
-    rows = recipes(spark, path).select("bucket", "doc_id", "start", "n_tokens", "root")
+    rows = recipes(spark, path).select("bucket", "nth", "doc_id", "n_tokens", "root")
     last = rows.agg(F.max("bucket")).first()[0]
-    rows = rows.repartitionById((last or 0) + 1, F.col("bucket")).sortWithinPartitions("start").select("bucket", "doc_id", "n_tokens", "root")
+    rows = rows.repartitionById((last or 0) + 1, F.col("bucket")).sortWithinPartitions("nth").select("bucket", "doc_id", "n_tokens", "root")
     return rows.mapInArrow(run, "bucket int, first_doc long, documents long, ids long, root binary")
 
 
@@ -213,37 +241,69 @@ def read_chunks(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema("digest binary, data binary, kind int").parquet(f"{path}/objects").filter("kind = 1").select("digest", "data").mapInArrow(run, "digest binary, n_ids long, crc32 long")
 
 
+def checked_recipes(spark: SparkSession, path: str) -> DataFrame:
+    """The recipes; ranges whose documents, ids or root are not those of the manifest raise, and so do lost ranges."""
+    stored = spark.read.schema("bucket int, first_doc long, documents long, ids long, root binary").parquet(f"{path}/manifest")
+    found = manifest(spark, path)
+    if stored.exceptAll(found).unionByName(found.exceptAll(stored)).limit(1).count():
+        raise ValueError("the recipes do not match the manifest")
+    return recipes(spark, path)
+
+
+def _put_together(spark: SparkSession, path: str, chunks: DataFrame, *fields: str) -> DataFrame:
+    """bucket, nth, doc_id, start, n_tokens, root, chunks (nth, digest and fields of every chunk) of every document."""
+    rows = checked_recipes(spark, path).select("bucket", "nth", "doc_id", "start", "n_tokens", "root", F.posexplode_outer("digests").alias("at", "digest"))
+    whole = F.array_sort(F.collect_list(F.when(F.col("at").isNotNull(), F.struct("at", "digest", *fields)))).alias("chunks")
+    of_row = [F.first(c).alias(c) for c in ("doc_id", "start", "n_tokens", "root")]
+    return rows.join(chunks, "digest", "left").groupBy("bucket", "nth").agg(*of_row, whole).drop("bucket", "nth")
+
+
+def _check(chunks: list[dict], root: bytes, n: int, sizes: list[int | None]) -> None:
+    if None in sizes or merkle_root([c["digest"] for c in chunks]) != root or sum(sizes) != n:
+        raise ValueError("a document does not match its root")
+
+
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
-    """doc_id, start, n_tokens, ids (array of int) of every document, put together from its chunks."""
-    parts = recipes(spark, path).select("doc_id", "start", "n_tokens", F.posexplode("digests").alias("nth", "digest"))
-    data = spark.read.schema("digest binary, data binary, kind int").parquet(f"{path}/objects").filter("kind = 1").select("digest", "data")
-    whole = parts.join(data, "digest").groupBy("doc_id", "start", "n_tokens").agg(F.array_sort(F.collect_list(F.struct("nth", "data"))).alias("chunks"))
+    """doc_id, start, n_tokens, ids (array of int) of every document, put together from its chunks.
+
+    Chunks are checked against their addresses, documents against their roots and lengths, ranges against the manifest;
+    a chunk that is lost raises too.
+    """
+
+    def verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for digest, data in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                if sha256(data).digest() != digest:
+                    raise ValueError(f"chunk {digest.hex()} is damaged")
+            yield b
+
+    data = spark.read.schema("digest binary, data binary, kind int").parquet(f"{path}/objects").filter("kind = 1").select("digest", "data").mapInArrow(verified, "digest binary, data binary")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            ids = [np.concatenate([unpack(c["data"]) for c in row]).astype(np.int32) for row in b.column(3).to_pylist()]
+            ids = []
+            for n, root, row in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), b.column(4).to_pylist(), strict=True):
+                pieces = [None if c["data"] is None else unpack(c["data"]) for c in row]
+                _check(row, root, n, [None if p is None else len(p) for p in pieces])
+                ids.append(np.concatenate([np.zeros(0, np.uint32), *pieces]).astype(np.int32))
             yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(ids, pa.list_(pa.int32()))], names=["doc_id", "start", "n_tokens", "ids"])
 
-    return whole.mapInArrow(run, "doc_id long, start long, n_tokens long, ids array<int>")
+    return _put_together(spark, path, data, "data").mapInArrow(run, "doc_id long, start long, n_tokens long, ids array<int>")
 
 
 def verified_documents(spark: SparkSession, path: str) -> DataFrame:
-    """doc_id, start, n_tokens, ids_crc32 from the files: chunks are checked against their addresses, documents against
-    their roots and lengths.  A document's CRC is joined from its chunks', so no bytes move."""
-    parts = recipes(spark, path).select("doc_id", "start", "n_tokens", "root", F.posexplode("digests").alias("nth", "digest"))
-    found = parts.join(read_chunks(spark, path), "digest", "left")
-    whole = found.groupBy("start").agg(F.first("doc_id").alias("doc_id"), F.first("n_tokens").alias("n_tokens"), F.first("root").alias("root"), F.array_sort(F.collect_list(F.struct("nth", "digest", "n_ids", "crc32"))).alias("chunks"))
+    """doc_id, start, n_tokens, ids_crc32 from the files: checked as by read_documents.  A document's CRC is joined from
+    those of its chunks, so no bytes move."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             crcs = []
             for n, root, row in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), b.column(4).to_pylist(), strict=True):
-                if merkle_root([c["digest"] for c in row]) != root or sum(c["n_ids"] or 0 for c in row) != n:
-                    raise ValueError("a document does not match its root")
+                _check(row, root, n, [c["n_ids"] for c in row])
                 crcs.append(crc_join([(c["crc32"], 4 * c["n_ids"]) for c in row]))
-            yield pa.RecordBatch.from_arrays([b.column(1), b.column(0), b.column(2), pa.array(crcs, pa.int64())], names=["doc_id", "start", "n_tokens", "ids_crc32"])
+            yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(crcs, pa.int64())], names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    return whole.select("start", "doc_id", "n_tokens", "root", "chunks").mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return _put_together(spark, path, read_chunks(spark, path), "n_ids", "crc32").mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def stored_documents(df: DataFrame, vocabulary: str | None = None) -> DataFrame:

@@ -1,8 +1,10 @@
-"""Token ids of whole texts from a public tokenizer file, a word at a time.
+"""Token ids of whole texts from a public tokenizer file, by the distinct words of a batch.
 
 The normaliser of ``word_bpe_49k.json`` turns white space into single spaces, its pre-tokenizer drops these, and no
-special token holds one.  So a text's ids are those of its pieces between ASCII white space, one after another, and
-a worker needs to encode each different piece once.  The memo is cleared when it is full; that costs time only.
+special token holds one.  So a text's ids are those of its words between ASCII white space, one after another.  A batch
+of texts is split and its distinct words are numbered in Arrow; each distinct word is cut into pre-tokens once, each
+distinct pre-token is encoded once, and numpy lays the ids out again in the order of the texts.  Pre-tokens are
+remembered between batches in two generations whose bytes are bounded; long ones are not remembered at all.
 """
 
 from __future__ import annotations
@@ -12,17 +14,30 @@ import os
 import re
 import sys
 from array import array
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-#: Pieces a worker remembers, some 200 bytes each.
-MEMO_WORDS = 600_000
+#: Bytes of text that are encoded at a time; a longer text is a batch of its own.
+BATCH_BYTES = 8 << 20
+#: Bytes of one generation of remembered pre-tokens, each counted with ENTRY_BYTES, and the longest that is remembered.
+MEMO_BYTES, ENTRY_BYTES, LONGEST = 48 << 20, 180, 64
 #: Letters of Latin-1 and Latin Extended-A whose lower case and normal form are one character whatever stands beside them.
-LATIN = "\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u0148\u014a-\u017f"
-PLAIN = re.compile(f"[!-~{LATIN}]+")
-#: The pre-tokenizer's pattern as it reads on such words in lower case (fixed by the vocabulary file).
+LATIN = "À-ÖØ-öø-įı-ňŊ-ſ"
+#: Words of these alone are cut here, all others by the library.  No special token's start is among them.
+PLAIN = f"^[!-;=-~{LATIN}]+$"
+#: Plain words in lower case that are letters and then signs: two pre-tokens at most.
+STEM_TAIL = f"^(?P<stem>[a-z{LATIN}]*)(?P<tail>[^a-z0-9{LATIN}]*)$"
+#: The pre-tokenizer's pattern as it reads on other plain words in lower case.
 PIECE = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[a-z{LATIN}]+|[0-9]|[^a-z0-9{LATIN}]+")
+#: The normaliser and the pre-tokenizer that all this is proven for (fixed values of the vocabulary file).
+NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
+PRETOKENIZERS = [
+    {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+]
 
 
 def vocabulary_path(name: str = "word_bpe_49k.json") -> str:
@@ -49,62 +64,47 @@ def byte_alphabet() -> dict[int, str]:
     return {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
-class WordMemo(dict):
-    """word (UTF-8 bytes without ASCII white space) -> whatever `make` gives for its ids.
+class Remembered:
+    """What `make` gives for strings, remembered in a young and an old generation of at most MEMO_BYTES each.
 
-    `encode_piece` gives the ids of one pre-token in the byte alphabet, `encode` those of any text.  Words of printable
-    ASCII and Latin letters are cut into pre-tokens here, so that "end", "End" and "end." share an entry; all others,
-    and those that may hold a special token, go to `encode` whole.  `join` puts values of pre-tokens together.
+    What is asked for again moves to the young generation; when that is full it becomes the old one.
     """
 
-    def __init__(self, encode: Callable, encode_piece: Callable, make: Callable, join: Callable, specials: list[str], limit: int = MEMO_WORDS):
-        super().__init__()
-        self.encode, self.encode_piece, self.make, self.join, self.limit = encode, encode_piece, make, join, limit
-        self.special = re.compile("|".join(map(re.escape, specials)) or "(?!)").search
-        self.plain, self.cut = PLAIN.fullmatch, PIECE.findall
-        self.pieces: dict[str, object] = {}
-        self.chars = {chr(b): c for b, c in byte_alphabet().items()}
+    def __init__(self, make: Callable[[str], bytes], limit: int = MEMO_BYTES):
+        self.make, self.limit, self.young, self.old, self.size = make, limit, {}, {}, 0
 
-    def piece(self, p: str):
-        value = self.pieces.get(p)
+    def missing(self, key: str) -> bytes:
+        value = self.old.get(key)
         if value is None:
-            level = p if p.isascii() else "".join(map(self.chars.__getitem__, p.encode().decode("latin-1")))
-            value = self.pieces[p] = self.make(self.encode_piece(level))
+            value = self.make(key)
+        if len(key) <= LONGEST:
+            self.size += ENTRY_BYTES + len(key) + len(value)
+            if self.size > self.limit:
+                self.young, self.old, self.size = {}, self.young, 0
+            self.young[key] = value
         return value
 
-    def __missing__(self, word: bytes):
-        text = word.decode()
-        if self.plain(text) and not self.special(text):
-            pieces = self.cut(text.lower())
-            value = self.piece(pieces[0]) if len(pieces) == 1 else self.join(map(self.piece, pieces))
-        else:
-            value = self.make(self.encode(text))
-        self[word] = value
-        return value
+    def all(self, keys: list[str]) -> list[bytes]:
+        found = list(map(self.young.get, keys))
+        return [self.missing(k) if v is None else v for k, v in zip(keys, found, strict=True)]
 
-    def trim(self) -> None:
-        if len(self) > self.limit:
-            self.clear()
-        if len(self.pieces) > self.limit // 2:
-            self.pieces.clear()
 
-
-def whitespace_free(path: str) -> bool:
-    """Whether a vocabulary file drops white space, so that encoding by word is encoding by text."""
-    if not path.endswith(".json"):
-        return False
-    with open(path, encoding="utf-8") as f:
-        t = json.load(f)
-    steps = (t.get("normalizer") or {}).get("normalizers", [])
-    spaces = any(s.get("type") == "Replace" and s.get("pattern") == {"Regex": "\\s+"} for s in steps)
-    splits = [s for s in (t.get("pre_tokenizer") or {}).get("pretokenizers", []) if s.get("type") == "Split"]
-    dropped = any(s.get("invert") and s.get("behavior") == "Removed" for s in splits)
-    return spaces and dropped and not any(re.search(r"\s", a["content"]) or a["lstrip"] or a["rstrip"] for a in t["added_tokens"])
+def listed(strings: pa.Array) -> list[str]:
+    """Strings without line ends as a list, by one long string."""
+    if not len(strings):
+        return []
+    offsets = pa.array([0, len(strings)], pa.int32())
+    return pc.binary_join(pa.ListArray.from_arrays(offsets, strings.cast(pa.string())), "\n")[0].as_py().split("\n")
 
 
-def special_strings(path: str) -> list[str]:
-    with open(path, encoding="utf-8") as f:
-        return [a["content"] for a in json.load(f)["added_tokens"]]
+def spread(values: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """values[starts[i] : starts[i] + lengths[i]] for all i, one after another."""
+    ends = np.cumsum(lengths, dtype=np.int64)
+    total = int(ends[-1]) if len(ends) else 0
+    kind = np.int32 if max(total, len(values)) < 1 << 31 else np.int64
+    at = np.repeat((starts - (ends - lengths)).astype(kind), lengths)
+    at += np.arange(total, dtype=kind)
+    return values[at]
 
 
 def packer(dtype: str) -> Callable[[list[int]], bytes]:
@@ -115,40 +115,119 @@ def packer(dtype: str) -> Callable[[list[int]], bytes]:
     return lambda ids: np.array(ids, dtype).tobytes()
 
 
-_packed: dict[str, WordMemo] = {}
-
+class WordEncoder:
+    """Encodes batches of texts.
 
-def packed_memo(path: str, dtype: str = "<u4") -> WordMemo:
-    """This process's memo from word to its ids as little-endian bytes, by the tokenizers library."""
-    key = f"{path}|{dtype}"
-    if key not in _packed:
-        tok = library(path)
-        model = tok.model
-        _packed[key] = WordMemo(lambda s: tok.encode(s, add_special_tokens=False).ids, lambda p: [t.id for t in model.tokenize(p)], packer(dtype), b"".join, special_strings(path))
-    return _packed[key]
+    `encode_piece` gives the ids of one pre-token in the byte alphabet, `encode` those of any text; `dtype` holds them.
+    """
 
+    def __init__(self, encode: Callable, encode_piece: Callable, dtype: str):
+        chars = {chr(b): c for b, c in byte_alphabet().items()}
+        level = lambda p: p if p.isascii() else "".join(map(chars.__getitem__, p.encode().decode("latin-1")))
+        packed = packer(dtype)
+        self.dtype = np.dtype(dtype)
+        self.piece = Remembered(lambda p: packed(encode_piece(level(p))) if p else b"")
+        self.odd = Remembered(lambda w: packed(encode(w)))
+
+    def words(self, distinct: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """ids of all distinct words one after another, and the start and length of each."""
+        plain = pc.match_substring_regex(distinct, PLAIN)
+        low = pc.utf8_lower(pc.if_else(plain, distinct, ""))
+        cut = pc.extract_regex(low, STEM_TAIL)
+        simple = pc.and_(plain, pc.is_valid(cut)).to_numpy(zero_copy_only=False)
+        empty = pc.equal(distinct, "").to_numpy(zero_copy_only=False)
+        parts, chosen = [b""], np.zeros((len(distinct), 2), np.int64)
+        for i, field in enumerate(("stem", "tail")):
+            coded = pc.struct_field(cut, field).filter(pa.array(simple)).dictionary_encode()
+            chosen[simple, i] = coded.indices.to_numpy() + len(parts)
+            parts += self.piece.all(listed(coded.dictionary))
+        for at in np.flatnonzero(~simple & ~empty):
+            if plain[at].as_py():
+                parts.append(b"".join(self.piece.all(PIECE.findall(low[at].as_py()))))
+            else:
+                parts += self.odd.all([distinct[at].as_py()])
+            chosen[at, 0] = len(parts) - 1
+        lengths = np.fromiter(map(len, parts), np.int64, len(parts)) // self.dtype.itemsize
+        ids, size = np.frombuffer(b"".join(parts), self.dtype), lengths[chosen]
+        whole = size.sum(axis=1)
+        return spread(ids, (np.cumsum(lengths) - lengths)[chosen].ravel(), size.ravel()), np.cumsum(whole) - whole, whole
+
+    def batch(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """ids of texts without nulls one after another, and how many each text has."""
+        split = pc.ascii_split_whitespace(texts.cast(pa.large_string()))
+        coded = split.flatten().dictionary_encode()
+        ids, starts, lengths = self.words(coded.dictionary)
+        word = coded.indices.to_numpy()
+        size = lengths[word]
+        until = np.concatenate([[0], np.cumsum(size)])
+        ends = np.concatenate([[0], np.cumsum(pc.list_value_length(split).to_numpy())]).astype(np.int64)
+        return spread(ids, starts[word], size), np.diff(until[ends])
+
+    def batches(self, texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """The first row, ids and counts of slices of about BATCH_BYTES."""
+        for at, size in slices(texts):
+            yield at, *self.batch(texts.slice(at, size))
+
+
+def slices(texts: pa.Array, most: int = BATCH_BYTES) -> Iterator[tuple[int, int]]:
+    """Start and number of rows of slices whose texts have `most` bytes, or that are one text."""
+    total = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
+    at = 0
+    while at < len(texts):
+        before = total[at - 1] if at else 0
+        end = max(at + 1, int(np.searchsorted(total, before + most, "right")))
+        yield at, end - at
+        at = end
+
+
+def by_words(path: str) -> bool:
+    """Whether a vocabulary file has exactly the normaliser and pre-tokenizer that encoding by words is proven for."""
+    if not path.endswith(".json"):
+        return False
+    with open(path, encoding="utf-8") as f:
+        t = json.load(f)
+    same = (t.get("normalizer") or {}).get("normalizers") == NORMALIZERS and (t.get("pre_tokenizer") or {}).get("pretokenizers") == PRETOKENIZERS
+    apart = all(a["content"].startswith("<") and not re.search(r"\s", a["content"]) and not (a["lstrip"] or a["rstrip"] or a["single_word"] or a["normalized"]) for a in t["added_tokens"])
+    return bool(same and apart and t["model"]["type"] == "BPE" and not t.get("post_processor"))
 
-_texts: dict[str, object] = {}
 
+def special_strings(path: str) -> list[str]:
+    with open(path, encoding="utf-8") as f:
+        return [a["content"] for a in json.load(f)["added_tokens"]]
 
-def packed_ids(path: str, dtype: str = "<u4") -> Callable[[str], bytes]:
-    """A function from a text to its packed ids: by word where the vocabulary allows, else by whole text."""
-    if whitespace_free(path):
-        memo = packed_memo(path, dtype)
 
-        def by_word(text: str) -> bytes:
-            memo.trim()
-            return b"".join(map(memo.__getitem__, text.encode().split()))
+class TextEncoder:
+    """The same batches for vocabularies that are encoded by whole texts, through their library."""
 
-        return by_word
-    if path not in _texts:
+    def __init__(self, path: str):
         if path.endswith(".model"):
             import sentencepiece
 
             sp = sentencepiece.SentencePieceProcessor(model_file=path)
-            _texts[path] = lambda s: sp.encode(s, num_threads=1)
+            self.encode, size = (lambda s: sp.encode(s, num_threads=1)), sp.get_piece_size()
         else:
             tok = library(path)
-            _texts[path] = lambda s: tok.encode(s, add_special_tokens=False).ids
-    whole = _texts[path]
-    return lambda text: np.array(whole(text), dtype).tobytes()
+            self.encode, size = (lambda s: tok.encode(s, add_special_tokens=False).ids), tok.get_vocab_size(with_added_tokens=True)
+        self.dtype = np.dtype("<u2" if size <= 65536 else "<u4")
+
+    def batch(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        found = [np.array(self.encode(t), self.dtype) for t in texts.to_pylist()]
+        return np.concatenate(found) if found else np.zeros(0, self.dtype), np.fromiter(map(len, found), np.int64, len(found))
+
+    batches = WordEncoder.batches
+
+
+_encoders: dict[str, WordEncoder | TextEncoder] = {}
+
+
+def encoder(path: str) -> WordEncoder | TextEncoder:
+    """This process's encoder for a vocabulary file: by words where that is proven, else by whole texts."""
+    if path not in _encoders:
+        if by_words(path):
+            tok = library(path)
+            model = tok.model
+            dtype = "<u2" if tok.get_vocab_size(with_added_tokens=True) <= 65536 else "<u4"
+            _encoders[path] = WordEncoder(lambda s: tok.encode(s, add_special_tokens=False).ids, lambda p: [t.id for t in model.tokenize(p)], dtype)
+        else:
+            _encoders[path] = TextEncoder(path)
+    return _encoders[path]

@@ -5,9 +5,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from namesake.llm import chunk_store as cs
-from namesake.llm.words import library, packed_ids, vocabulary_path
+from namesake.llm.words import library, vocabulary_path
 
-from .conftest import ROWS
+from .conftest import ROWS, table
 
 
 @pytest.fixture(scope="module")
@@ -85,8 +85,35 @@ def test_empty_table(spark, empty, tmp_path):
     assert cs.verified_documents(spark, path).count() == 0 and cs.read_documents(spark, path).count() == 0
 
 
-def test_packed_ids_are_the_library_s():
-    path = vocabulary_path()
-    tok, encode = library(path), packed_ids(path)
-    for text in ["", "a\x1fb \x1c c\x85d\xa0e", "Don'T 'LL 12a_ß É ıİ ﬁ Å̊ ́x", "<|ENDOFTEXT|><|endoftext|>x<|startoftext|>", " z　漢 字"]:
-        assert np.frombuffer(encode(text), "<u4").tolist() == tok.encode(text, add_special_tokens=False).ids
+def test_without_an_end_id(spark, docs, tmp_path):
+    """Empty documents have recipes without chunks, and no document is lost."""
+    path = cs.write_store(docs, f"file://{tmp_path}/s", end_id=None)
+    tok = library(vocabulary_path())
+    want = sorted(tok.encode(t or "", add_special_tokens=False).ids for _, t, _ in ROWS)
+    assert sorted(r["ids"] for r in cs.read_documents(spark, path).collect()) == want
+    got = sorted(r["ids_crc32"] for r in cs.verified_documents(spark, path).collect())
+    assert got == sorted(zlib.crc32(np.array(ids, "<u4").tobytes()) for ids in want)
+
+
+def test_lost_recipes_and_chunks_are_noticed(spark, docs, tmp_path):
+    path = cs.write_store(docs.filter("doc_id < 9"), f"file://{tmp_path}/s")
+    spark.read.parquet(f"{path}/recipes").filter("doc_id != 4").write.parquet(f"{path}/less/recipes")
+    spark.read.parquet(f"{path}/manifest").write.parquet(f"{path}/less/manifest")
+    spark.read.parquet(f"{path}/objects").write.partitionBy("kind").parquet(f"{path}/less/objects")
+    for read in (cs.verified_documents, cs.read_documents):
+        with pytest.raises(ValueError, match="manifest"):
+            read(spark, f"{path}/less")
+    some = spark.read.parquet(f"{path}/objects").filter("kind = 1").orderBy("digest").limit(1).select("digest").first()[0]
+    for name in ("recipes", "manifest"):
+        spark.read.parquet(f"{path}/{name}").write.parquet(f"{path}/few/{name}")
+    spark.read.parquet(f"{path}/objects").filter(F.col("digest") != F.lit(some)).write.partitionBy("kind").parquet(f"{path}/few/objects")
+    for read in (cs.verified_documents, cs.read_documents):
+        with pytest.raises(Exception, match="does not match its root"):
+            read(spark, f"{path}/few").collect()
+
+
+def test_wide_ids(spark, tmp_path):
+    """An end id beyond 2 bytes makes ids of 4."""
+    path = cs.write_store(table(spark, [(1, "a b c", "x"), (2, "", "x")]), f"file://{tmp_path}/s", end_id=70000)
+    rows = {r["doc_id"]: r["ids"] for r in cs.read_documents(spark, path).collect()}
+    assert rows[2] == [70000] and rows[1][-1] == 70000 and len(rows[1]) == 4
