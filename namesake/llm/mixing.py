@@ -2,17 +2,20 @@
 
 The share p of each source in the tokens is raised to an exponent a in [0, 1] and normalised again.  a = 1 leaves the
 shares, a = 0 makes them equal.  The exponent is bisected: the largest that reaches a target entropy, or the smallest
-that holds a repetition limit.  The weights then become a plan for a token budget.  Each source is a number of blocks,
-dealt by a hash of the id.  For each epoch a seeded permutation of the source's blocks, and of the documents in a
-block, fixes an order; a source's quota takes whole epochs and then a prefix of the next permutation.
+that holds a repetition limit.  The weights then become a stream for a token budget.  Each source is a number of blocks,
+dealt by a hash of the id.  Every epoch has a seeded permutation of the source's blocks and of the documents in each
+block of its own; a source's stream is one epoch after another, cut where its quota is reached.  Every copy of a
+document has its epoch and its position there, and the sources' streams run side by side through the mixture.
 
 The default budget is the smallest that takes every document once: nothing is lost and rare sources repeat.  The
-running sums are over blocks (at most BLOCKS a source) and within the one block a source where its quota ends, so
-a source with a third of all rows is not summed in one place.
+running sums are over blocks (at most BLOCKS a source and epoch) and within one block of one epoch, so a source with a
+third of all rows is not summed in one place.  The table of blocks has at most BLOCKS rows a source and epoch, and
+never more than the mixture has rows.
 
 Cases: null text is empty; a document counts as its words and one more, so that empty ones have a place; null is a
 source of its own; rows that repeat an id are taken together; an empty table gives none; null ids are ordered first;
-further columns of any name stay as they are.
+a very long text is one document, and a quota may be passed by part of the last one; further columns of any name stay as
+they are.
 """
 
 from __future__ import annotations
@@ -20,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from namesake.llm.common import materialise
+from namesake.llm.common import materialise, shuffle_parts, unused
 
 BLOCKS = 1024
 #: Bisection steps that one pass evaluates, and passes: 20 steps, an exponent to one part in a million.
@@ -74,11 +77,11 @@ def mixing_weights(rows: DataFrame, exponent: float) -> DataFrame:
     return rows.select("source", "tokens", (power / F.lit(z)).alias("weight"), F.round(power * F.lit(scale)).cast("long").alias("quota"))
 
 
-def mixing_plan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", target_entropy: float | None = None, max_repeats: float | None = 2.0, budget: int | None = None, seed: int = 0) -> DataFrame:
-    """doc_id, source, tokens, block, copies: how often the mixture takes each document (0 only if a budget is stated).
+def mixing_order(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", target_entropy: float | None = None, max_repeats: float | None = 2.0, budget: int | None = None, seed: int = 0) -> DataFrame:
+    """doc_id, source, tokens, epoch, position, quota: a row for every copy of a document in the mixture.
 
-    budget: tokens of the mixture; None: the smallest with which each source is passed at least once.  The document
-    at which a quota is reached is the last one taken.
+    position: tokens of the source's stream before this copy, epoch after epoch.  budget: tokens of the mixture; None:
+    the smallest with which each source is passed at least once.  The copy at which a quota is reached is the last one.
     """
     d = df.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{source_col}`").cast("string").alias("source"), tokens(F.col(f"`{text_col}`")).alias("tokens"))
     order = F.md5(F.concat_ws("|", F.lit(str(seed)), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
@@ -90,22 +93,37 @@ def mixing_plan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     quotas = mixing_weights(sources, exponent)
     if budget is not None:
         quotas = quotas.withColumn("quota", F.round(F.col("weight") * F.lit(float(budget))).cast("long"))
-    quotas = quotas.select(F.col("source").alias("__of"), F.expr("quota div tokens").alias("epochs"), (F.col("quota") % F.col("tokens")).alias("rest"))
-    # the epoch that the quota ends in: a permutation of the blocks, then of the documents in the block where it ends
-    nth = F.md5(F.concat_ws("|", F.lit(f"{seed} block"), F.col("epochs"), F.col("block")))
-    ranked = blocks.join(quotas, F.col("source").eqNullSafe(F.col("__of"))).select("source", "block", "tokens", "epochs", "rest", nth.alias("nth"))
-    ahead = Window.partitionBy("source").orderBy("nth", "block").rowsBetween(Window.unboundedPreceding, -1)
-    ranked = materialise(ranked.withColumn("before", F.coalesce(F.sum("tokens").over(ahead), F.lit(0))).select(F.col("source").alias("__of"), F.col("block").alias("__at"), "epochs", "rest", "before", (F.col("before") + F.col("tokens")).alias("after")), "mix-order")
-    placed = d.join(ranked, F.col("source").eqNullSafe(F.col("__of")) & (F.col("block") == F.col("__at"))).drop("__of", "__at")
-    within = Window.partitionBy("source", "block").orderBy(F.md5(F.concat_ws("|", "epochs", "order")), "doc_id").rowsBetween(Window.unboundedPreceding, -1)
-    whole = placed.filter("after <= rest OR before >= rest").withColumn("extra", F.when(F.col("after") <= F.col("rest"), 1).otherwise(0))
-    torn = placed.filter("after > rest AND before < rest").withColumn("extra", F.when(F.col("before") + F.coalesce(F.sum("tokens").over(within), F.lit(0)) < F.col("rest"), 1).otherwise(0))
-    return whole.unionByName(torn).select("doc_id", "source", "tokens", "block", (F.col("epochs") + F.col("extra")).cast("long").alias("copies"))
+    epochs = F.sequence(F.lit(0).cast("long"), F.expr("(quota - 1) div tokens"))
+    quotas = quotas.filter("quota > 0").select(F.col("source").alias("of"), F.col("tokens").alias("total"), "quota", F.explode(epochs).alias("epoch"))
+    nth = F.md5(F.concat_ws("|", F.lit(f"{seed} block"), F.col("epoch"), F.col("block")))
+    ranked = blocks.join(quotas, F.col("source").eqNullSafe(F.col("of"))).withColumn("nth", nth)
+    ahead = lambda *within: F.coalesce(F.sum("tokens").over(Window.partitionBy("source", *within).orderBy("nth", *LAST[within]).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    ranked = ranked.withColumn("before", F.col("epoch") * F.col("total") + ahead("epoch")).filter("before < quota")
+    ranked = materialise(ranked.select("of", F.col("block").alias("at"), "epoch", "quota", "before"), "mix-order")
+    placed = d.join(ranked, F.col("source").eqNullSafe(F.col("of")) & (F.col("block") == F.col("at"))).withColumn("nth", F.md5(F.concat_ws("|", "epoch", "order")))
+    placed = placed.withColumn("position", F.col("before") + ahead("block", "epoch")).filter("position < quota")
+    return placed.select("doc_id", "source", "tokens", "epoch", "position", "quota")
+
+
+#: What decides between equal hashes, by what a running sum is within.
+LAST = {("epoch",): ["block"], ("block", "epoch"): ["doc_id"]}
+
+
+def mixing_plan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **how) -> DataFrame:
+    """doc_id, source, tokens, copies: how often the mixture takes each document that it takes."""
+    found = mixing_order(df, id_col, text_col, source_col, **how)
+    return found.groupBy("doc_id", "source", "tokens").agg(F.count(F.lit(1)).alias("copies"))
 
 
 def mixed(df: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", **how) -> DataFrame:
-    """The rows of df as often as the plan takes them, with all their columns."""
-    plan = mixing_plan(df, id_col, text_col, source_col, **how).select(F.col("doc_id").alias("__id"), F.col("source").alias("__source"), F.col("copies").alias("__copies"))
-    same = df[id_col].cast("long").eqNullSafe(plan["__id"]) & df[source_col].cast("string").eqNullSafe(plan["__source"])
-    joined = df.join(plan, same).withColumn("__copy", F.explode(F.when(F.col("__copies") > 0, F.sequence(F.lit(1), F.col("__copies"))).otherwise(F.array().cast("array<bigint>"))))
-    return joined.drop("__id", "__source", "__copies", "__copy")
+    """The rows of df as often as the mixture takes them, with all their columns, in its order.
+
+    A copy's place is the share of its source's stream before it, so every stretch of the mixture has the sources in
+    their weights.  Places are even, so equal ranges of them are the partitions and rows are sorted within each.
+    """
+    one, two, place = unused(df, "id", "from", "place")
+    order = mixing_order(df, id_col, text_col, source_col, **how).select(F.col("doc_id").alias(one), F.col("source").alias(two), (F.col("position") / F.col("quota")).alias(place))
+    same = F.col(f"`{id_col}`").cast("long").eqNullSafe(F.col(one)) & F.col(f"`{source_col}`").cast("string").eqNullSafe(F.col(two))
+    parts = shuffle_parts(df.sparkSession)
+    dealt = df.join(order, same).repartitionById(parts, F.floor(F.col(place) * parts).cast("int"))
+    return dealt.sortWithinPartitions(place, two, one).drop(one, two, place)

@@ -14,7 +14,7 @@ def op1_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mixing_plan(load(spark, sf_dir, "documents"), max_repeats=2.0).select("doc_id", "source", "tokens", "copies")
+    return mixing.mixing_order(load(spark, sf_dir, "documents"), max_repeats=2.0).drop("quota")
 
 
 def op3_chunk_store(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -97,12 +97,12 @@ x(i, low, high) AS (
   FROM x, p WHERE i < 20),
 a AS (SELECT high AS a FROM x WHERE i = 20),
 q AS (SELECT source, tokens, round(pow(tokens, a) * max(tokens / pow(tokens, a)) OVER ())::BIGINT AS quota FROM s, a),
-r AS (SELECT source, quota // tokens AS epochs, quota % tokens AS rest FROM q),
+e AS (SELECT source, tokens AS total, quota, unnest(range((quota - 1) // tokens + 1)) AS epoch FROM q),
 f AS (
-  SELECT k.source, k.block, epochs, rest, coalesce(sum(k.tokens) OVER (PARTITION BY k.source ORDER BY md5('0 block|' || epochs || '|' || k.block), k.block ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before, k.tokens
-  FROM k JOIN r USING (source)),
+  SELECT k.source, k.block, epoch, quota, epoch * total + coalesce(sum(k.tokens) OVER (PARTITION BY k.source, epoch ORDER BY md5('0 block|' || epoch || '|' || k.block), k.block ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+  FROM k JOIN e USING (source)),
 w AS (
-  SELECT b.doc_id, b.source, b.tokens, epochs, rest, f.before + coalesce(sum(b.tokens) OVER (PARTITION BY b.source, b.block ORDER BY md5(epochs || '|' || o), doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS ahead
+  SELECT b.doc_id, b.source, b.tokens, epoch, quota, f.before + coalesce(sum(b.tokens) OVER (PARTITION BY b.source, b.block, epoch ORDER BY md5(epoch || '|' || o), doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS position
   FROM b JOIN f ON f.source = b.source AND f.block = b.block)
-SELECT doc_id, source, tokens, (epochs + CASE WHEN ahead < rest THEN 1 ELSE 0 END)::BIGINT AS copies FROM w""",
+SELECT doc_id, source, tokens, epoch::BIGINT AS epoch, position::BIGINT AS position FROM w WHERE position < quota""",
 }

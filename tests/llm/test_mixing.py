@@ -55,6 +55,42 @@ def test_budget_drops_and_repeats(corpus):
     assert plan.exceptAll(again).count() == 0
 
 
+def test_streams_are_whole_permutations(corpus):
+    """Each source's stream has no gap and no overlap, every whole epoch has each document once, in orders of its own,
+    and the last one is cut where the quota is reached."""
+    rows = mixing.mixing_order(corpus, max_repeats=3.0, budget=12000, seed=4).collect()
+    texts = {r["doc_id"]: r for r in corpus.collect()}
+    orders = {}
+    for source in {r["source"] for r in rows}:
+        own = sorted((r for r in rows if r["source"] == source), key=lambda r: r["position"])
+        at = 0
+        for r in own:
+            assert r["position"] == at and r["tokens"] == len(texts[r["doc_id"]]["text"].split()) + 1
+            at += r["tokens"]
+        assert own[-1]["position"] < own[-1]["quota"] <= at
+        size = sum(t["source"] == source for t in texts.values())
+        for epoch in range(own[-1]["epoch"] + 1):
+            ids = [r["doc_id"] for r in own if r["epoch"] == epoch]
+            assert len(set(ids)) == len(ids) and (epoch == own[-1]["epoch"] or len(ids) == size)
+            orders[source, epoch] = ids
+    assert orders["small", 0] != orders["small", 1] and orders["small", 0] != sorted(orders["small", 0])
+
+
+def test_sources_run_side_by_side(spark, corpus):
+    """Every quarter of the mixture, in the order of its rows, has the sources in about the same shares."""
+    out = [r["source"] for r in mixing.mixed(corpus, max_repeats=2.0).collect()]
+    quarter = len(out) // 4
+    for i in range(4):
+        own = out[i * quarter : (i + 1) * quarter]
+        for source in ("big", "mid", "small"):
+            assert own.count(source) / quarter == pytest.approx(out.count(source) / len(out), abs=0.05)
+
+
+def test_names_of_helpers_do_not_clash(spark):
+    df = spark.createDataFrame([(1, "a", "s", 5, "x", "y"), (2, "b", None, 6, "z", "w")], "doc_id long, text string, source string, id int, place string, `from` string")
+    assert sorted(mixing.mixed(df).collect()) == sorted(df.collect()) and mixing.mixed(df).columns == df.columns
+
+
 def test_rows_keep_their_columns(docs, empty):
     out = mixing.mixed(docs)
     assert out.columns == docs.columns
