@@ -12,11 +12,15 @@ from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 WIDTH = 64
+#: Pairs whose windows partial_ratios measures in one batch.
+SHARED = 1000
 
 
 def _wide_lcs(a: str, b: str) -> int:
@@ -32,11 +36,14 @@ def _wide_lcs(a: str, b: str) -> int:
     return len(a) - row.bit_count()
 
 
+def _raw(strings: list[str], width: int) -> np.ndarray:
+    """(strings, width) code points; past the end the last one there is."""
+    return np.frombuffer("".join(s.ljust(width, "\U0010ffff") for s in strings).encode("utf-32-le", "surrogatepass"), "<u4").reshape(len(strings), width)
+
+
 def _codes(strings: list[str], width: int, alphabet: np.ndarray) -> np.ndarray:
     """(strings, width) places in the alphabet; past the end the place after the last."""
-    raw = np.frombuffer("".join(s.ljust(width, "\U0010ffff") for s in strings).encode("utf-32-le", "surrogatepass"), "<u4")
-    code = np.minimum(np.searchsorted(alphabet, raw), len(alphabet))
-    return code.reshape(len(strings), width)
+    return np.minimum(np.searchsorted(alphabet, _raw(strings, width).ravel()), len(alphabet)).reshape(len(strings), width)
 
 
 def _tables(strings: list[str], alphabet: np.ndarray) -> np.ndarray:
@@ -52,34 +59,49 @@ def _tables(strings: list[str], alphabet: np.ndarray) -> np.ndarray:
 
 def lcs_lengths(a: list[str], b: list[str]) -> np.ndarray:
     """Lengths of the longest common subsequences of pairs."""
-    out = np.zeros(len(a), np.int64)
-    short = [x if len(x) <= len(y) else y for x, y in zip(a, b, strict=True)]
-    long = [y if len(x) <= len(y) else x for x, y in zip(a, b, strict=True)]
-    sizes = np.fromiter(map(len, short), np.int64, len(short))
-    lengths = np.fromiter(map(len, long), np.int64, len(long))
-    fits = (sizes > 0) & (sizes <= WIDTH) & (lengths <= 8 * WIDTH)
-    order = np.flatnonzero(fits)
-    order = order[np.argsort(lengths[order], kind="stable")]
-    for at in range(0, len(order), 8192):
-        pick = order[at : at + 8192]
-        which, strings = pd.factorize(np.array([short[i] for i in pick], object))
-        others, texts = pd.factorize(np.array([long[i] for i in pick], object))
-        alphabet = np.array(sorted({ord(c) for s in (*strings, *texts) for c in s}), np.uint32)
-        table = _tables(list(strings), alphabet).ravel()
-        y = np.ascontiguousarray(_codes(list(texts), int(lengths[pick].max()), alphabet).T)
-        base = which * (len(alphabet) + 1)
+    if not len(a):
+        return np.zeros(0, np.int64)
+    x, short = pd.factorize(np.array([p if len(p) <= len(q) else q for p, q in zip(a, b, strict=True)], object))
+    y, long = pd.factorize(np.array([q if len(p) <= len(q) else p for p, q in zip(a, b, strict=True)], object))
+    return np.concatenate([coded_lcs(list(short), list(long), x[at : at + 8192], y[at : at + 8192]) for at in range(0, len(x), 8192)])
+
+
+def coded_lcs(a: list[str], b: list[str], x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Lengths of the longest common subsequences of a[x[i]] and b[y[i]]: each string is prepared once, whatever the pairs.
+
+    The strings of a are the words of bits, so those over 64 characters go the wide way.
+    """
+    out = np.zeros(len(x), np.int64)
+    sizes, lengths = np.fromiter(map(len, a), np.int64, len(a)), np.fromiter(map(len, b), np.int64, len(b))
+    fits = (sizes[x] > 0) & (sizes[x] <= WIDTH) & (lengths[y] > 0) & (lengths[y] <= 8 * WIDTH)
+    pick = np.flatnonzero(fits)
+    if len(pick):
+        used, p = np.unique(x[pick], return_inverse=True)
+        texts, q = np.unique(y[pick], return_inverse=True)
+        left, right = [a[i] for i in used.tolist()], [b[i] for i in texts.tolist()]
+        alphabet = np.array(sorted(set("".join(left))), "U1").view(np.uint32)
+        rows = _codes(right, int(lengths[texts].max()), alphabet).T
+        known = np.concatenate([alphabet, [0]])
+        rows = np.where(known[rows] == _raw(right, rows.shape[0]).T, rows, len(alphabet))
+        table, base = _tables(left, alphabet).ravel(), p * (len(alphabet) + 1)
         row = np.full(len(pick), ~np.uint64(0))
-        for step in y:
-            hit = table[base + step[others]] & row
+        for step in np.ascontiguousarray(rows):
+            hit = table[base + step[q]] & row
             row = (row + hit) | (row - hit)
-        used = sizes[pick].astype(np.uint64)
-        mask = np.where(used == 64, ~np.uint64(0), (np.uint64(1) << (used & np.uint64(63))) - np.uint64(1))
-        out[pick] = sizes[pick] - np.bitwise_count(row & mask)
-    for i in np.flatnonzero((sizes > 0) & ~fits):
-        out[i] = _wide_lcs(short[i], long[i])
+        size = sizes[x[pick]].astype(np.uint64)
+        mask = np.where(size == 64, ~np.uint64(0), (np.uint64(1) << (size & np.uint64(63))) - np.uint64(1))
+        out[pick] = sizes[x[pick]] - np.bitwise_count(row & mask)
+    for i in np.flatnonzero(~fits & (sizes[x] > 0) & (lengths[y] > 0)).tolist():
+        out[i] = _wide_lcs(a[x[i]], b[y[i]])
     return out
 
 
+def coded_ratios(a: list[str], b: list[str], x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Normalised Indel similarity of a[x[i]] and b[y[i]]; two empty strings are alike."""
+    total = np.fromiter(map(len, a), np.float64, len(a))[x] + np.fromiter(map(len, b), np.float64, len(b))[y]
+    return np.divide(2.0 * coded_lcs(a, b, x, y), total, out=np.ones(len(x)), where=total > 0)
+
+
 def ratios(a: list[str], b: list[str]) -> np.ndarray:
     """Normalised Indel similarity; two empty strings are alike."""
     total = np.fromiter((len(x) + len(y) for x, y in zip(a, b, strict=True)), np.float64, len(a))
@@ -96,27 +118,33 @@ def token_sort_ratios(a: list[str], b: list[str]) -> np.ndarray:
 
 
 def token_set_ratios(a: list[str], b: list[str]) -> np.ndarray:
-    """On the sets of tokens: 0 if either is empty, 1 if one holds the other, else the best of three comparisons.
+    x, left = pd.factorize(np.array(a, object))
+    y, right = pd.factorize(np.array(b, object))
+    return coded_token_sets(list(left), list(right), x, y)
+
+
+def coded_token_sets(a: list[str], b: list[str], x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """On the sets of tokens of a[x[i]] and b[y[i]]: 0 if either is empty, 1 if one holds the other, else the best of
+    three comparisons.
 
     With the shared tokens S and the differences A and B, each in order, these are (S A, S B), (S, S A) and (S, S B).
     The first two share the prefix S, so its subsequence is S and that of A and B; the others follow from lengths.
     """
-    out = np.zeros(len(a))
+    out = np.zeros(len(x))
     left, right, spread, shared, at = [], [], [], [], []
-    sets = {x: frozenset(x.split()) for x in {*a, *b}}
-    for i, (x, y) in enumerate(zip(a, b, strict=True)):
-        p, q = sets[x], sets[y]
+    first, second = [frozenset(s.split()) for s in a], [frozenset(s.split()) for s in b]
+    for i, (j, k) in enumerate(zip(x.tolist(), y.tolist(), strict=True)):
+        p, q = first[j], second[k]
         if not p or not q:
             continue
         both = p & q
-        if both and (both == p or both == q):
+        if both and (len(both) == len(p) or len(both) == len(q)):
             out[i] = 1.0
             continue
         at.append(i)
         left.append(" ".join(sorted(p - both)))
         right.append(" ".join(sorted(q - both)))
-        size = sum(map(len, both)) + max(0, len(both) - 1)
-        shared.append(size)
+        shared.append(sum(map(len, both)) + max(0, len(both) - 1))
         spread.append(1 if both else 0)
     if at:
         s, gap = np.array(shared, float), np.array(spread, float)
@@ -129,36 +157,42 @@ def token_set_ratios(a: list[str], b: list[str]) -> np.ndarray:
     return out
 
 
-def partial_ratio(a: str, b: str) -> float:
-    """The best similarity of the shorter string to a window of its length in the longer one, cut off at the edges."""
-    if not a or not b:
-        return float(a == b)
-    best = 0.0
-    for x, y in ((a, b), (b, a)) if len(a) == len(b) else (((a, b) if len(a) < len(b) else (b, a)),):
-        m = len(x)
-        windows = {y[max(0, i) : i + m] for i in range(1 - m, len(y))} - {""}
-        best = max(best, float(ratios([x] * len(windows), list(windows)).max()))
-    return best
+def partial_ratios(a: list[str], b: list[str]) -> np.ndarray:
+    """For each pair the best similarity of the shorter string to a window of its length in the longer one, cut off at
+    the edges.  The windows of many pairs are one batch of the kernel."""
+    if len(a) > SHARED:
+        return np.concatenate([partial_ratios(a[at : at + SHARED], b[at : at + SHARED]) for at in range(0, len(a), SHARED)])
+    out = np.array([float(x == y) if not x or not y else 0.0 for x, y in zip(a, b, strict=True)])
+    left, right, of = [], [], []
+    for i, (x, y) in enumerate(zip(a, b, strict=True)):
+        if not x or not y:
+            continue
+        for p, q in ((x, y), (y, x)) if len(x) == len(y) else (((x, y) if len(x) < len(y) else (y, x)),):
+            m = len(p)
+            windows = {q[max(0, at) : at + m] for at in range(1 - m, len(q))}
+            left += [p] * len(windows)
+            right += windows
+            of += [i] * len(windows)
+    if of:
+        np.maximum.at(out, np.array(of), ratios(left, right))
+    return out
 
 
-def partial_ratios(a: list[str], b: list[str]) -> np.ndarray:
-    return np.array([partial_ratio(x, y) for x, y in zip(a, b, strict=True)])
+def partial_ratio(a: str, b: str) -> float:
+    return float(partial_ratios([a], [b])[0])
 
 
 def number_similarities(a: list[list[str]], b: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
     """For each number of a its best similarity to a number of b: the greatest and the mean of these; 0 if one is empty."""
-    x, y, at = [], [], []
-    for i, (p, q) in enumerate(zip(a, b, strict=True)):
-        for j, n in enumerate(p):
-            for m in q:
-                x.append(n)
-                y.append(m)
-                at.append((i, j))
+    m, n = (np.fromiter(map(len, side), np.int64, len(side)) for side in (a, b))
     best, mean = np.zeros(len(a)), np.zeros(len(a))
-    if at:
-        found = pd.DataFrame(at, columns=["i", "j"]).assign(r=ratios(x, y)).groupby(["i", "j"])["r"].max().groupby(level=0)
-        top = found.max()
-        best[top.index], mean[top.index] = top.to_numpy(), found.mean().to_numpy()
+    some = np.flatnonzero((m > 0) & (n > 0))
+    if len(some):
+        found = ratios([p for i in some for p in a[i] for _ in b[i]], [q for i in some for _ in a[i] for q in b[i]])
+        rows = np.repeat(n[some], m[some])  # one entry for each number of a: how many of b it met
+        tops = np.maximum.reduceat(found, np.cumsum(rows) - rows)
+        starts = np.cumsum(m[some]) - m[some]
+        best[some], mean[some] = np.maximum.reduceat(tops, starts), np.add.reduceat(tops, starts) / m[some]
     return best, mean
 
 
@@ -209,6 +243,43 @@ def weight(frequency: Column) -> Column:
     return 1 / F.sqrt(F.greatest(F.lit(1), frequency))
 
 
-def sparse_dot(a: Column, b: Column) -> Column:
-    """Of two maps from an index to a value."""
-    return F.aggregate(F.map_keys(a), F.lit(0.0), lambda total, k: total + a[k] * F.coalesce(F.try_element_at(b, k), F.lit(0.0)))
+@F.arrow_udf(T.DoubleType())
+def sparse_dot(grams_a: pa.Array, values_a: pa.Array, grams_b: pa.Array, values_b: pa.Array) -> pa.Array:
+    """Dot products of sparse vectors, each an ascending array of indices and one of values; null is the zero vector."""
+    keys, values = [], []
+    for grams, of in ((grams_a, values_a), (grams_b, values_b)):
+        size = pc.fill_null(pc.list_value_length(grams), 0).to_numpy(zero_copy_only=False)
+        row = np.repeat(np.arange(len(grams), dtype=np.int64), size)
+        keys.append(row << 32 | grams.flatten().to_numpy(zero_copy_only=False))
+        values.append(of.flatten().to_numpy(zero_copy_only=False))
+    at = np.searchsorted(keys[1], keys[0])
+    hit = np.flatnonzero(at < len(keys[1]))
+    hit = hit[keys[1][at[hit]] == keys[0][hit]]
+    return pa.array(np.bincount(keys[0][hit] >> 32, values[0][hit] * values[1][at[hit]], len(grams_a)))
+
+
+@F.arrow_udf(T.StructType([T.StructField("names", T.DoubleType()), T.StructField("addresses", T.DoubleType())]))
+def pool_measures(core_a: pa.Array, core_b: pa.Array, roman_a: pa.Array, roman_b: pa.Array, sorted_a: pa.Array, sorted_b: pa.Array, address_a: pa.Array, address_b: pa.Array) -> pa.Array:
+    """What a search ranks by: names by their sorted tokens, in either spelling; addresses by sorted tokens and token sets.
+
+    Cores, spellings and `sorted` have their tokens in order.  Every distinct string of a batch is prepared once, and
+    every distinct pair of strings is measured once.
+    """
+
+    def measured(kernel, a: pa.Array, b: pa.Array) -> np.ndarray:
+        left, right = a.dictionary_encode(), b.dictionary_encode()
+        x, y = left.indices.to_numpy().astype(np.int64), right.indices.to_numpy().astype(np.int64)
+        pairs, back = np.unique(x * max(1, len(right.dictionary)) + y, return_inverse=True)
+        return kernel(left.dictionary.to_pylist(), right.dictionary.to_pylist(), pairs // max(1, len(right.dictionary)), pairs % max(1, len(right.dictionary)))[back]
+
+    names = measured(coded_ratios, core_a, core_b)
+    spelled = pc.or_(pc.not_equal(core_a, roman_a), pc.not_equal(core_b, roman_b))
+    other = np.flatnonzero(spelled.to_numpy(zero_copy_only=False))
+    if len(other):
+        names[other] = np.maximum(names[other], measured(coded_ratios, roman_a.take(pa.array(other)), roman_b.take(pa.array(other))))
+    addresses = np.zeros(len(names))
+    there = np.flatnonzero(pc.and_(pc.not_equal(address_a, ""), pc.not_equal(address_b, "")).to_numpy(zero_copy_only=False))
+    if len(there):
+        of = lambda c: c.take(pa.array(there))
+        addresses[there] = 0.55 * measured(coded_ratios, of(sorted_a), of(sorted_b)) + 0.45 * measured(coded_token_sets, of(address_a), of(address_b))
+    return pa.StructArray.from_arrays([pa.array(names), pa.array(addresses)], ["names", "addresses"])

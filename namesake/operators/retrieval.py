@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from namesake.functions import keys, text
-from namesake.functions.similarity import jaccard, ratio, token_set_ratio, token_sort_ratio
+from namesake.functions.similarity import jaccard, pool_measures, ratio, token_set_ratio, token_sort_ratio
 
 #: Most targets of a key that is used alone, and of one that is used in an intersection; candidates kept.
 MAX_BLOCK, MAX_BROAD, TOP_K = 1000, 50000, 80
@@ -46,14 +46,17 @@ def broad_keys(ref_keys: DataFrame, counts: DataFrame, max_block: int, max_broad
 
 
 def _first(rows: DataFrame, families: list[str], nth: int = 1) -> DataFrame:
-    """ref_id and the nth lightest key of the families, as a struct (n, key)."""
+    """ref_id and the nth rarest key of the families, as a struct (n, key)."""
     order = Window.partitionBy("ref_id").orderBy("n", "key")
     ranked = rows.filter(F.col("family").isin(families)).withColumn("nth", F.row_number().over(order))
     return ranked.filter(F.col("nth") == nth).select("ref_id", F.struct("n", "key").alias("one"))
 
 
+PAIRS = "array<struct<first:string,second:string,first_n:bigint,second_n:bigint>>"
+
+
 def primary_intersections(broad: DataFrame) -> DataFrame:
-    """ref_id, pair, first, second: at most two pairs of broad keys of a reference.
+    """ref_id, pair, first, second and their counts: at most two pairs of broad keys of a reference.
 
     The lightest name key with the lightest address key; the lightest address key with the next of another number; if
     there is neither, the two lightest name tokens.  One aggregation a reference: its broad keys are few, as every
@@ -65,20 +68,20 @@ def primary_intersections(broad: DataFrame) -> DataFrame:
     number = lambda k: F.get(F.split(k["key"], r"\|"), F.lit(2))
     other = F.filter(placed, lambda k: number(k) != number(F.get(placed, F.lit(0))))
     tokens = F.filter("own", lambda k: k["family"] == "t")
-    pair = lambda a, b: F.struct(F.get(a, F.lit(0))["key"].alias("first"), b["key"].alias("second"))
-    both = F.when((F.size(named) > 0) & (F.size(placed) > 0), F.array(pair(named, F.get(placed, F.lit(0))))).otherwise(F.array().cast("array<struct<first:string,second:string>>"))
-    two = F.when(F.size(other) > 0, F.array(pair(placed, F.get(other, F.lit(0))))).otherwise(F.array().cast("array<struct<first:string,second:string>>"))
-    last = F.when(F.size(tokens) > 1, F.array(pair(tokens, F.get(tokens, F.lit(1))))).otherwise(F.array().cast("array<struct<first:string,second:string>>"))
+    pair = lambda a, b: F.struct(F.get(a, F.lit(0))["key"].alias("first"), b["key"].alias("second"), F.get(a, F.lit(0))["n"].alias("first_n"), b["n"].alias("second_n"))
+    both = F.when((F.size(named) > 0) & (F.size(placed) > 0), F.array(pair(named, F.get(placed, F.lit(0))))).otherwise(F.array().cast(PAIRS))
+    two = F.when(F.size(other) > 0, F.array(pair(placed, F.get(other, F.lit(0))))).otherwise(F.array().cast(PAIRS))
+    last = F.when(F.size(tokens) > 1, F.array(pair(tokens, F.get(tokens, F.lit(1))))).otherwise(F.array().cast(PAIRS))
     pairs = F.concat(both, two)
-    return own.select("ref_id", F.posexplode(F.when(F.size(pairs) > 0, pairs).otherwise(last)).alias("pair", "keys")).select("ref_id", "pair", "keys.first", "keys.second")
+    return own.select("ref_id", F.posexplode(F.when(F.size(pairs) > 0, pairs).otherwise(last)).alias("pair", "keys")).select("ref_id", "pair", "keys.*")
 
 
 def extra_intersections(broad: DataFrame) -> DataFrame:
-    """ref_id, pair, first, second: two words, two full names, and a word with a full name."""
+    """ref_id, pair, first, second and their counts: two words, two full names, and a word with a full name."""
     words, names = [_first(broad, ["w"], i) for i in (1, 2)], [_first(broad, ["f"], i) for i in (1, 2)]
     pairs = None
     for number, (a, b) in enumerate(((words[0], words[1]), (names[0], names[1]), (words[0], names[0]))):
-        found = a.join(b.withColumnRenamed("one", "two"), "ref_id").select("ref_id", F.lit(number).alias("pair"), F.col("one.key").alias("first"), F.col("two.key").alias("second"))
+        found = a.join(b.withColumnRenamed("one", "two"), "ref_id").select("ref_id", F.lit(number).alias("pair"), F.col("one.key").alias("first"), F.col("two.key").alias("second"), F.col("one.n").alias("first_n"), F.col("two.n").alias("second_n"))
         pairs = found if pairs is None else pairs.unionByName(found)
     return pairs
 
@@ -86,16 +89,16 @@ def extra_intersections(broad: DataFrame) -> DataFrame:
 def intersect(pairs: DataFrame, target_keys: DataFrame, max_block: int = MAX_BLOCK) -> DataFrame:
     """ref_id, target_id: targets that have both keys of a pair; pairs that find more than max_block are dropped whole.
 
-    Distinct pairs of keys are intersected once for all references that ask for them, and counted before they are
-    joined back.  A key of a pair has at most MAX_BROAD targets.
+    Distinct pairs of keys are intersected once for all references that ask for them.  The rarer key of a pair brings
+    its targets, and each is looked up under the other, so a pair makes as many rows as its rarer key has targets.
     """
-    asked = pairs.select(F.least("first", "second").alias("first"), F.greatest("first", "second").alias("second")).distinct()
-    a = target_keys.select(F.col("key").alias("first"), "eid")
-    b = target_keys.select(F.col("key").alias("second"), "eid")
-    found = asked.join(a, "first").join(b, ["second", "eid"]).select("first", "second", F.col("eid").alias("target_id"))
-    fit = found.groupBy("first", "second").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") <= max_block)
-    wanted = pairs.select("ref_id", F.least("first", "second").alias("first"), F.greatest("first", "second").alias("second"))
-    return wanted.join(fit.select("first", "second"), ["first", "second"]).join(found, ["first", "second"]).select("ref_id", "target_id").distinct()
+    rarer = F.struct(F.col("first_n").alias("n"), F.col("first").alias("key")) <= F.struct(F.col("second_n").alias("n"), F.col("second").alias("key"))
+    wanted = pairs.select("ref_id", F.when(rarer, F.col("first")).otherwise(F.col("second")).alias("rare"), F.when(rarer, F.col("second")).otherwise(F.col("first")).alias("wide"))
+    a = target_keys.select(F.col("key").alias("rare"), "eid")
+    b = target_keys.select(F.col("key").alias("wide"), "eid")
+    found = wanted.select("rare", "wide").distinct().join(a, "rare").join(b, ["wide", "eid"], "left_semi")
+    found = found.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("rare", "wide"))).filter(F.col("n") <= max_block)
+    return wanted.join(found, ["rare", "wide"]).select("ref_id", F.col("eid").alias("target_id")).distinct()
 
 
 def candidate_pool(refs: DataFrame, targets: DataFrame, max_block: int = MAX_BLOCK, extra: bool = True) -> DataFrame:
@@ -112,8 +115,10 @@ def candidate_pool(refs: DataFrame, targets: DataFrame, max_block: int = MAX_BLO
 
 
 def prepared(entities: DataFrame) -> DataFrame:
-    """What retrieval compares of a record, once a record: eid, core, roman, address, numbers."""
-    return entities.select("eid", "core", text.roman_core(F.col("core")).alias("roman"), "address", text.numeric_tokens(F.col("address")).alias("numbers"))
+    """What retrieval compares of a record, once a record: eid, core and roman with their tokens in order, address, its
+    tokens in order, and numbers."""
+    core, roman = F.col("core"), text.roman_core(F.col("core"))
+    return entities.select("eid", text.sorted_tokens(core).alias("core"), text.sorted_tokens(roman).alias("roman"), "address", text.sorted_tokens(F.col("address")).alias("sorted"), text.numeric_tokens(F.col("address")).alias("numbers"))
 
 
 def attached(pairs: DataFrame, refs: DataFrame, targets: DataFrame) -> DataFrame:
@@ -125,14 +130,13 @@ def attached(pairs: DataFrame, refs: DataFrame, targets: DataFrame) -> DataFrame
 
 def scored_pool(pool: DataFrame, refs: DataFrame, targets: DataFrame) -> DataFrame:
     """ref_id, target_id, names, addresses, numbers and the three ranking scores, all out of 100."""
-    rows = attached(pool, prepared(refs), prepared(targets))
-    names = 100 * F.greatest(token_sort_ratio(F.col("a.core"), F.col("b.core")), token_sort_ratio(F.col("a.roman"), F.col("b.roman")))
-    sort, shared = token_sort_ratio(F.col("a.address"), F.col("b.address")), token_set_ratio(F.col("a.address"), F.col("b.address"))
-    present = (F.col("a.address") != "") & (F.col("b.address") != "")
-    rows = rows.select(
-        "ref_id", "target_id", names.alias("names"), F.when(present, 100 * (0.55 * sort + 0.45 * shared)).otherwise(0.0).alias("addresses"), (100 * jaccard(F.col("a.numbers"), F.col("b.numbers"))).alias("numbers")
-    )
-    return rank_scores(rows)
+    a, b = prepared(refs).withColumnRenamed("eid", "ref_id"), prepared(targets).withColumnRenamed("eid", "target_id")
+    side = lambda e, key: e.select(key, F.struct(*[c for c in e.columns if c != key]).alias(key[0]))
+    # references come last, so that the exchange by reference serves the ranking too
+    rows = pool.join(side(b, "target_id"), "target_id").join(side(a, "ref_id"), "ref_id")
+    both = lambda f: (F.col(f"r.{f}"), F.col(f"t.{f}"))
+    measured = rows.select("ref_id", "target_id", pool_measures(*both("core"), *both("roman"), *both("sorted"), *both("address")).alias("m"), (100 * jaccard(*both("numbers"))).alias("numbers"))
+    return rank_scores(measured.select("ref_id", "target_id", (100 * F.col("m.names")).alias("names"), (100 * F.col("m.addresses")).alias("addresses"), "numbers"))
 
 
 def rank_scores(rows: DataFrame) -> DataFrame:

@@ -17,6 +17,7 @@ def pairs(spark):
 
 
 def test_model_kinds_tell_links_apart(pairs):
+    assert set(learn.model_kinds()) == {"boosted", "slow_boosted", "linear_svm"}
     for name, fit in learn.model_kinds().items():
         scored = fit(pairs, ["x", "y"])(pairs)
         low, high = (scored.filter(F.col("label") == y).agg(f("score")).first()[0] for y, f in ((0, F.max), (1, F.min)))
