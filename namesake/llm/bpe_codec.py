@@ -21,7 +21,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from namesake.llm.common import id_and_text
-from namesake.llm.words import WordEncoder, by_words, library, slices, special_strings, vocabulary_path
+from namesake.llm.words import WordEncoder, by_words, library, special_strings, vocabulary_path
 
 
 def forced_pairs(vocab: list[str], suffix: str) -> set[str]:
@@ -94,8 +94,7 @@ class Codec:
         """Number of ids, SHA-256 of the decimal ids and of the decoded text, of each text."""
         from hashlib import sha256
 
-        for at, size in slices(texts):
-            ids, counts = self.encoder.batch(texts.slice(at, size))
+        for _, ids, counts in self.encoder.batches(texts):
             ends = np.cumsum(counts)
             offsets = np.concatenate([[0], ends]).astype(np.int32)
             spaced = lambda strings: pc.binary_join(pa.ListArray.from_arrays(pa.array(offsets), strings.take(pa.array(ids)).cast(pa.string())), " ")  # noqa: E731, B023

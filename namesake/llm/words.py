@@ -21,9 +21,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text that are encoded at a time; a longer text is a batch of its own.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 #: Bytes of one generation of remembered pre-tokens, each counted with ENTRY_BYTES, and the longest that is remembered.
-MEMO_BYTES, ENTRY_BYTES, LONGEST = 48 << 20, 180, 64
+MEMO_BYTES, ENTRY_BYTES, LONGEST = 32 << 20, 180, 64
 #: Letters of Latin-1 and Latin Extended-A whose lower case and normal form are one character whatever stands beside them.
 LATIN = "À-ÖØ-öø-įı-ňŊ-ſ"
 #: Words of these alone are cut here, all others by the library.  No special token's start is among them.
@@ -164,9 +164,10 @@ class WordEncoder:
         return spread(ids, starts[word], size), np.diff(until[ends])
 
     def batches(self, texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        """The first row, ids and counts of slices of about BATCH_BYTES."""
+        """The first row, ids and counts of slices of about BATCH_BYTES; Arrow's memory goes back after the last."""
         for at, size in slices(texts):
             yield at, *self.batch(texts.slice(at, size))
+        pa.default_memory_pool().release_unused()
 
 
 def slices(texts: pa.Array, most: int = BATCH_BYTES) -> Iterator[tuple[int, int]]:
