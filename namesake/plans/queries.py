@@ -17,8 +17,8 @@ from namesake.plans import match, views
 from namesake.plans.views import ENTITY_SQL, load
 from namesake.sources import records, sinks
 
-#: Heavier keys than this are intersected in the queries that show both ways of blocking.
-BLOCK = 40
+#: The production cap of a key, and a lower one at which the small tables have keys to intersect too.
+BLOCK, LOW_BLOCK = retrieval.MAX_BLOCK, 40
 
 
 def _listed(words: list[str]) -> str:
@@ -232,32 +232,64 @@ def er_blocked_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _blocked(spark, sf_dir)
 
 
-BLOCKED_SQL = f"""{START},
-c AS (SELECT key, count(*) AS n FROM pk WHERE source > 1 GROUP BY key),
+def _pool(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All that production retrieval ranks: both key families, single keys and intersections."""
+    return retrieval.candidate_pool(*_parts(spark, sf_dir))
+
+
+def er_pool(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _pool(spark, sf_dir)
+
+
+COUNTS_SQL = """
+c AS (SELECT key, count(*) AS n FROM pk WHERE source > 1 GROUP BY key), cx AS (SELECT key, count(*) AS n FROM xk WHERE source > 1 GROUP BY key)"""
+BLOCKED_SQL = f"""{START}, {COUNTS_SQL},
 bp AS (SELECT DISTINCT r.eid AS ref_id, t.eid AS target_id, r.k AS rk, t.k AS tk FROM pk r JOIN c ON c.key = r.key AND n <= {BLOCK} JOIN pk t ON t.key = r.key AND t.source > 1 WHERE r.source = 1)"""
 
 
-def er_broad_intersections(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _broad(spark: SparkSession, sf_dir: str, block: int) -> DataFrame:
     """Which pairs of broad keys every reference uses, of both families."""
     refs, targets = _parts(spark, sf_dir)
     out = []
     for extra, choose in ((False, retrieval.primary_intersections), (True, retrieval.extra_intersections)):
         counts = retrieval.key_counts(retrieval.key_rows(targets, extra))
-        out.append(choose(retrieval.broad_keys(retrieval.key_rows(refs, extra), counts, BLOCK)).select("ref_id", F.lit(extra).alias("extra"), F.col("pair").cast("long").alias("pair"), "first", "second"))
+        out.append(choose(retrieval.broad_keys(retrieval.key_rows(refs, extra), counts, block)).select("ref_id", F.lit(extra).alias("extra"), F.col("pair").cast("long").alias("pair"), "first", "second"))
     return out[0].unionByName(out[1])
 
 
-def er_intersected_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+def er_broad_intersections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _broad(spark, sf_dir, BLOCK)
+
+
+def er_broad_intersections_40(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _broad(spark, sf_dir, LOW_BLOCK)
+
+
+def _intersected(spark: SparkSession, sf_dir: str, block: int) -> DataFrame:
+    """What intersections find, of both families."""
     refs, targets = _parts(spark, sf_dir)
-    tk = retrieval.key_rows(targets)
-    pairs = retrieval.primary_intersections(retrieval.broad_keys(retrieval.key_rows(refs), retrieval.key_counts(tk), BLOCK))
-    return retrieval.intersect(pairs, tk, BLOCK)
+    out = []
+    for extra, choose in ((False, retrieval.primary_intersections), (True, retrieval.extra_intersections)):
+        tk = retrieval.key_rows(targets, extra)
+        out.append(retrieval.intersect(choose(retrieval.broad_keys(retrieval.key_rows(refs, extra), retrieval.key_counts(tk), block)), tk, block))
+    return out[0].unionByName(out[1]).distinct()
 
 
-INTERSECT_SQL = f"""{START},
-c AS (SELECT key, count(*) AS n FROM pk WHERE source > 1 GROUP BY key), cx AS (SELECT key, count(*) AS n FROM xk WHERE source > 1 GROUP BY key),
-b AS (SELECT eid AS ref_id, pk.key, n, split_part(pk.key, '|', 2) AS f FROM pk JOIN c ON c.key = pk.key AND n > {BLOCK} AND n <= 50000 WHERE source = 1),
-bx AS (SELECT eid AS ref_id, xk.key, n, split_part(xk.key, '|', 2) AS f FROM xk JOIN cx ON cx.key = xk.key AND n > {BLOCK} AND n <= 50000 WHERE source = 1),
+def er_intersected_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _intersected(spark, sf_dir, BLOCK)
+
+
+def er_intersected_pairs_40(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _intersected(spark, sf_dir, LOW_BLOCK)
+
+
+def _intersect_sql(block: int) -> str:
+    return INTERSECT_SQL.replace("{block}", str(block))
+
+
+INTERSECT_SQL = f"""{START}, {COUNTS_SQL},
+b AS (SELECT eid AS ref_id, pk.key, n, split_part(pk.key, '|', 2) AS f FROM pk JOIN c ON c.key = pk.key AND n > {{block}} AND n <= 50000 WHERE source = 1),
+bx AS (SELECT eid AS ref_id, xk.key, n, split_part(xk.key, '|', 2) AS f FROM xk JOIN cx ON cx.key = xk.key AND n > {{block}} AND n <= 50000 WHERE source = 1),
 nk AS (SELECT ref_id, key, row_number() OVER (PARTITION BY ref_id ORDER BY n, key) AS i FROM b WHERE f IN ('t', 'e', 'n')),
 ak AS (SELECT ref_id, key, row_number() OVER (PARTITION BY ref_id ORDER BY n, key) AS i, split_part(key, '|', 3) AS num, n FROM b WHERE f = 'at'),
 tt AS (SELECT ref_id, key, row_number() OVER (PARTITION BY ref_id ORDER BY n, key) AS i FROM b WHERE f = 't'),
@@ -270,7 +302,19 @@ p AS (
 wx AS (SELECT ref_id, f, key, row_number() OVER (PARTITION BY ref_id, f ORDER BY n, key) AS i FROM bx WHERE f IN ('w', 'f')),
 px AS (
   SELECT x.ref_id, CASE x.f WHEN 'w' THEN 0 ELSE 1 END AS pair, x.key AS first, y.key AS second FROM wx x JOIN wx y ON x.ref_id = y.ref_id AND x.f = y.f AND x.i = 1 AND y.i = 2
-  UNION ALL SELECT x.ref_id, 2, x.key, y.key FROM wx x JOIN wx y ON x.ref_id = y.ref_id AND x.f = 'w' AND y.f = 'f' AND x.i = 1 AND y.i = 1)"""
+  UNION ALL SELECT x.ref_id, 2, x.key, y.key FROM wx x JOIN wx y ON x.ref_id = y.ref_id AND x.f = 'w' AND y.f = 'f' AND x.i = 1 AND y.i = 1),
+pp AS (SELECT false AS extra, ref_id, least(first, second) AS first, greatest(first, second) AS second FROM p UNION ALL SELECT true, ref_id, least(first, second), greatest(first, second) FROM px),
+d AS (SELECT DISTINCT extra, first, second FROM pp),
+tg AS MATERIALIZED (SELECT false AS extra, key, eid FROM pk WHERE source > 1 UNION ALL SELECT true, key, eid FROM xk WHERE source > 1),
+fo AS (SELECT d.*, x.eid AS target_id FROM d JOIN tg x ON x.key = d.first AND x.extra = d.extra JOIN tg y ON y.key = d.second AND y.extra = d.extra AND y.eid = x.eid),
+ok AS (SELECT extra, first, second FROM fo GROUP BY ALL HAVING count(*) <= {{block}}),
+ip AS (SELECT DISTINCT ref_id, target_id FROM pp JOIN ok USING (extra, first, second) JOIN fo USING (extra, first, second))"""
+POOL_SQL = f"""{_intersect_sql(BLOCK)},
+pool AS (
+  SELECT r.eid AS ref_id, t.eid AS target_id FROM pk r JOIN c ON c.key = r.key AND n <= {BLOCK} JOIN pk t ON t.key = r.key AND t.source > 1 WHERE r.source = 1
+  UNION SELECT r.eid, t.eid FROM xk r JOIN cx ON cx.key = r.key AND n <= {BLOCK} JOIN xk t ON t.key = r.key AND t.source > 1 WHERE r.source = 1
+  UNION SELECT ref_id, target_id FROM ip),
+bp AS (SELECT ref_id, target_id, split_part(ref_id, '-', 2)::BIGINT AS rk, split_part(target_id, '-', 2)::BIGINT AS tk FROM pool)"""
 
 
 def er_empty_address_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -279,7 +323,7 @@ def er_empty_address_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def er_empty_address_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     refs, targets = _parts(spark, sf_dir)
-    return retrieval.empty_address_candidates(refs, targets, _blocked(spark, sf_dir)).select("ref_id", "target_id", F.round("score", 6).alias("score"), F.col("nth").cast("long").alias("nth"))
+    return retrieval.empty_address_candidates(refs, targets, _candidates(spark, sf_dir)).select("ref_id", "target_id", F.round("score", 6).alias("score"), F.col("nth").cast("long").alias("nth"))
 
 
 # ---- similarity ------------------------------------------------------------------------------------------------
@@ -297,7 +341,7 @@ def _native_score() -> Column:
 
 
 def er_set_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _with_texts(_blocked(spark, sf_dir), spark, sf_dir)
+    rows = _with_texts(_pool(spark, sf_dir), spark, sf_dir)
     a, b = (lambda f: F.col(f"a.{f}")), (lambda f: F.col(f"b.{f}"))
     r = lambda c: F.round(c, 6)
     return rows.select(
@@ -311,7 +355,7 @@ def _jaccard_sql(a: str, b: str) -> str:
     return f"CASE WHEN {union} = 0 THEN 0.0 ELSE len(list_intersect({a}, {b})) / {union} END"
 
 
-PAIR_TEXT_SQL = f"""{BLOCKED_SQL},
+PAIR_TEXT_SQL = f"""{POOL_SQL},
 tx AS (SELECT eid, k, country, list_filter(string_split(core, ' '), lambda t: t <> '') AS core, list_filter(string_split(address, ' '), lambda t: t <> '') AS address, address AS raw, list_transform(regexp_extract_all(address, '\\b[0-9]+\\b'), lambda n: regexp_replace(n, '^0+(.)', '\\1')) AS numbers FROM ent),
 pt AS (SELECT ref_id, target_id, rk, tk, a.country, a.core AS ac, b.core AS bc, a.address AS aa, b.address AS ba, a.numbers AS an, b.numbers AS bn, a.raw AS ra, b.raw AS rb FROM bp JOIN tx a ON a.eid = ref_id JOIN tx b ON b.eid = target_id)"""
 
@@ -320,13 +364,12 @@ def er_weighted_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
     refs, targets = _parts(spark, sf_dir)
     counts = retrieval.key_counts(retrieval.key_rows(targets, True))
     of = lambda e: e.select("eid", keys.word_keys(F.col("address"), F.col("country")).alias("w"))
-    rows = retrieval.attached(_blocked(spark, sf_dir), of(refs), of(targets))
+    rows = retrieval.attached(_pool(spark, sf_dir), of(refs), of(targets))
     out = features.weighted_overlaps(rows, F.col("a.w"), F.col("b.w"), counts, "overlap", "rarest")
     return out.select("ref_id", "target_id", F.round("overlap", 6).alias("overlap"), F.round("rarest", 6).alias("rarest"))
 
 
-WEIGHTED_SQL = f"""{BLOCKED_SQL},
-cx AS (SELECT key, count(*) AS n FROM xk WHERE source > 1 GROUP BY key),
+WEIGHTED_SQL = f"""{POOL_SQL},
 wk AS (SELECT eid, list_distinct(list_transform(w7, lambda t: country || '|w|' || substr(t, 1, 10))) AS w FROM t3),
 u AS (SELECT ref_id, target_id, a.w AS aw, b.w AS bw, unnest(list_distinct(list_concat(a.w, b.w))) AS key FROM bp JOIN wk a ON a.eid = ref_id JOIN wk b ON b.eid = target_id),
 g AS (
@@ -384,21 +427,90 @@ def er_gram_cosine(spark: SparkSession, sf_dir: str) -> DataFrame:
     refs, targets = _parts(spark, sf_dir)
     of = lambda e: robust.canonical(e).select(F.col("eid").alias("id"), F.col("name").alias("value"))
     weights = robust.fit_weights(of(targets))
-    out = robust.cosines(_blocked(spark, sf_dir), robust.vectors(of(refs), weights), robust.vectors(of(targets), weights), "cosine")
+    out = robust.cosines(_candidates(spark, sf_dir), robust.vectors(of(refs), weights), robust.vectors(of(targets), weights), "cosine")
     return out.select("ref_id", "target_id", F.round("cosine", 6).alias("cosine"))
 
 
-COSINE_SQL = f"""{BLOCKED_SQL}, {EMPTY_SQL},
+# ---- candidates, features and models ---------------------------------------------------------------------------
+
+
+def _masks_sql(value: str) -> str:
+    """character -> the bits of its places in a string of at most 120 characters."""
+    bits = f"list_sum(list_transform(range(1, length({value}) + 1), lambda i: CASE WHEN substr({value}, i, 1) = c THEN 1::HUGEINT << (i - 1)::HUGEINT ELSE 0::HUGEINT END))::HUGEINT"
+    return f"map_from_entries(list_transform(list_distinct(string_split({value}, '')), lambda c: {{'k': c, 'v': {bits}}}))"
+
+
+def _bits_sql(a: str, masks: str, b: str) -> str:
+    """Length of the longest common subsequence of a and b, by the bits of a's places, a character of b at a time."""
+    full = f"((1::HUGEINT << length({a})::HUGEINT) - 1)"
+    return f"(length({a}) - bit_count(list_reduce(list_transform(string_split({b}, ''), lambda c: coalesce({masks}[c], 0)::HUGEINT), lambda acc, c: ((acc + (acc & c)) | (acc - (acc & c))) & {full}, {full})))"
+
+
+def _ratio_sql(f: str) -> str:
+    """Similarity of the fields f of the records a and b, which have masks f_m."""
+    return f"CASE WHEN length(a.{f}) + length(b.{f}) = 0 THEN 1.0::DOUBLE WHEN a.{f} = '' OR b.{f} = '' THEN 0.0 ELSE 2.0::DOUBLE * {_bits_sql(f'a.{f}', f'a.{f}_m', f'b.{f}')} / (length(a.{f}) + length(b.{f})) END"
+
+
+def _sorted_sql(value: str) -> str:
+    return f"array_to_string(list_sort(list_filter(string_split({value}, ' '), lambda t: t <> '')), ' ')"
+
+
+def _set_sql(name: str, pairs: str, x: str, y: str) -> str:
+    """CTEs that end in `name`: ref_id, target_id, v: token set similarity of the columns x and y of pairs."""
+    n = name
+    return f"""
+{n}1 AS (SELECT ref_id, target_id, list_distinct(list_filter(string_split({x}, ' '), lambda t: t <> '')) AS p, list_distinct(list_filter(string_split({y}, ' '), lambda t: t <> '')) AS q FROM {pairs}),
+{n}2 AS (SELECT *, list_intersect(p, q) AS i FROM {n}1),
+{n}3 AS (
+  SELECT *, length(array_to_string(i, ' ')) AS s, CASE WHEN len(i) > 0 THEN 1 ELSE 0 END AS gap,
+    array_to_string(list_sort(list_filter(p, lambda t: NOT list_contains(q, t))), ' ') AS da, array_to_string(list_sort(list_filter(q, lambda t: NOT list_contains(p, t))), ' ') AS db
+  FROM {n}2),
+{n}4 AS MATERIALIZED (SELECT da, {_masks_sql("da")} AS da_m FROM (SELECT DISTINCT da FROM {n}3)),
+{n} AS (
+  SELECT ref_id, target_id, CASE WHEN len(p) = 0 OR len(q) = 0 THEN 0.0 WHEN len(i) > 0 AND (len(i) = len(p) OR len(i) = len(q)) THEN 1.0
+    ELSE greatest(2.0::DOUBLE * (s + gap + CASE WHEN da = '' OR db = '' THEN 0 ELSE {_bits_sql("da", "da_m", "db")} END) / (2 * (s + gap) + length(da) + length(db)),
+      CASE WHEN s > 0 THEN greatest(2.0::DOUBLE * s / (2 * s + gap + length(da)), 2.0::DOUBLE * s / (2 * s + gap + length(db))) ELSE 0.0 END) END AS v
+  FROM {n}3 JOIN {n}4 USING (da))"""
+
+
+RANKED_SQL = f"""{POOL_SQL},
+rs AS (SELECT eid, k, country, address, name, core, {_sorted_sql("core")} AS cs, {_sorted_sql("name")} AS ns, array_to_string(list_sort(list_filter(regexp_extract_all(core, '[a-z0-9]+'), lambda t: t NOT IN ({_listed(lexicon.ROMAN_LEGAL)}))), ' ') AS ro, {_sorted_sql("address")} AS ad,
+  list_distinct(list_transform(regexp_extract_all(address, '\\b[0-9]+\\b'), lambda n: regexp_replace(n, '^0+(.)', '\\1'))) AS nums FROM ent),
+rm AS MATERIALIZED (SELECT *, {_masks_sql("cs")} AS cs_m, {_masks_sql("ns")} AS ns_m, {_masks_sql("ro")} AS ro_m, {_masks_sql("ad")} AS ad_m FROM rs),
+pa AS (SELECT ref_id, target_id, a.address AS x, b.address AS y FROM bp JOIN ent a ON a.eid = ref_id JOIN ent b ON b.eid = target_id), {_set_sql("ts", "pa", "x", "y")},
+me AS (
+  SELECT ref_id, target_id, 100 * greatest({_ratio_sql("cs")}, CASE WHEN a.ro = a.cs AND b.ro = b.cs THEN 0.0 ELSE {_ratio_sql("ro")} END) AS n,
+    CASE WHEN a.address = '' OR b.address = '' THEN 0.0 ELSE 100 * (0.55::DOUBLE * ({_ratio_sql("ad")}) + 0.45::DOUBLE * v) END AS a,
+    100 * ({_jaccard_sql("a.nums", "b.nums")})::DOUBLE AS m
+  FROM bp JOIN ts USING (ref_id, target_id) JOIN rm a ON a.eid = ref_id JOIN rm b ON b.eid = target_id),
+ra AS (
+  SELECT ref_id, target_id, greatest(0.6::DOUBLE * n + 0.3::DOUBLE * a + 0.1::DOUBLE * m, 0.35::DOUBLE * n + 0.5::DOUBLE * a + 0.15::DOUBLE * m) AS score, 0.85::DOUBLE * n + 0.1::DOUBLE * a + 0.05::DOUBLE * m AS name_score, 0.8::DOUBLE * a + 0.15::DOUBLE * m + 0.05::DOUBLE * n AS address_score FROM me),
+la AS (
+  SELECT *, row_number() OVER (PARTITION BY ref_id ORDER BY name_score DESC, target_id) AS i, row_number() OVER (PARTITION BY ref_id ORDER BY address_score DESC, target_id) AS j, count(*) OVER (PARTITION BY ref_id) AS size FROM ra),
+lb AS (SELECT *, CASE WHEN i <= {retrieval.NAME_LANE} THEN 1 WHEN j <= least({retrieval.ADDRESS_LANE}, {retrieval.TOP_K} - least({retrieval.NAME_LANE}, size)) THEN 2 ELSE 3 END AS lane FROM la),
+cd AS MATERIALIZED (
+  SELECT ref_id, target_id, score, name_score, address_score, row_number() OVER (PARTITION BY ref_id ORDER BY lane, CASE lane WHEN 1 THEN name_score WHEN 2 THEN address_score ELSE score END DESC, target_id) - 1 AS cand_pos
+  FROM lb QUALIFY cand_pos < {retrieval.TOP_K})"""
+FUZZY_SQL = f"""{RANKED_SQL},
+fz AS (SELECT ref_id, target_id, cand_pos, a.k AS rk, 0.6::DOUBLE * ({_ratio_sql("ns")}) + 0.4::DOUBLE * ({_ratio_sql("ad")}) AS score FROM cd JOIN rm a ON a.eid = ref_id JOIN rm b ON b.eid = target_id)
+SELECT ref_id, target_id, cand_pos::INT AS cand_pos, round(score, 6) AS score FROM fz WHERE score >= {match.FUZZY} QUALIFY row_number() OVER (PARTITION BY target_id ORDER BY score DESC, rk) = 1"""
+EMPTY_CANDIDATE_SQL = f"""{RANKED_SQL}, {EMPTY_SQL},
+et AS (SELECT * FROM ek WHERE source > 1 AND address = ''), ec AS (SELECT key FROM et GROUP BY key HAVING count(*) <= {BLOCK}),
+ep AS (SELECT DISTINCT r.eid AS ref_id, t.eid AS target_id FROM ek r JOIN ec USING (key) JOIN et t USING (key) WHERE r.source = 1),
+en AS (SELECT eid, array_to_string(ct, ' ') AS w, array_to_string(list_sort(ct), ' ') AS ws, array_to_string(ct, '') AS wc FROM cn),
+em AS MATERIALIZED (SELECT *, {_masks_sql("ws")} AS ws_m, {_masks_sql("wc")} AS wc_m FROM en),
+ew AS (SELECT ref_id, target_id, a.w AS x, b.w AS y FROM ep JOIN en a ON a.eid = ref_id JOIN en b ON b.eid = target_id), {_set_sql("es", "ew", "x", "y")},
+eo AS (SELECT ref_id, target_id, 100 * (0.6::DOUBLE * ({_ratio_sql("ws")}) + 0.25::DOUBLE * ({_ratio_sql("wc")}) + 0.15::DOUBLE * v) AS score FROM es JOIN em a ON a.eid = ref_id JOIN em b ON b.eid = target_id),
+eb AS (SELECT * FROM eo QUALIFY row_number() OVER (PARTITION BY ref_id ORDER BY score DESC, target_id) <= {retrieval.EMPTY_RANKED})
+SELECT ref_id, target_id, round(score, 6) AS score, row_number() OVER (PARTITION BY ref_id ORDER BY score DESC, target_id) AS nth FROM eb ANTI JOIN cd USING (ref_id, target_id) QUALIFY nth <= {retrieval.EMPTY_ADDED}"""
+COSINE_SQL = f"""{RANKED_SQL}, {EMPTY_SQL},
 v AS (SELECT eid, source, array_to_string(ct, ' ') AS v FROM cn),
 g AS (SELECT eid, source, unnest(flatten(list_transform([3, 4, 5], lambda n: list_transform(range(1, greatest(length(v) - n + 2, 1)), lambda i: substr(v, i, n))))) AS gram FROM v),
-d AS (SELECT gram, ln((1 + (SELECT count(*) FROM v WHERE source > 1)) / (1 + count(DISTINCT eid))) + 1 AS idf FROM g WHERE source > 1 GROUP BY gram HAVING count(DISTINCT eid) >= 2),
-f AS (SELECT eid, gram, (1 + ln(count(*))) * any_value(idf) AS x FROM g JOIN d USING (gram) GROUP BY eid, gram),
+dg AS (SELECT gram, ln((1 + (SELECT count(*) FROM v WHERE source > 1)) / (1 + count(DISTINCT eid))) + 1 AS idf FROM g WHERE source > 1 GROUP BY gram HAVING count(DISTINCT eid) >= 2),
+f AS (SELECT eid, gram, (1 + ln(count(*))) * any_value(idf) AS x FROM g JOIN dg USING (gram) GROUP BY eid, gram),
 z AS (SELECT eid, gram, x / sqrt(sum(x * x) OVER (PARTITION BY eid)) AS x FROM f),
-o AS (SELECT ref_id, target_id, sum(a.x * b.x) AS s FROM bp JOIN z a ON a.eid = ref_id JOIN z b ON b.eid = target_id AND a.gram = b.gram GROUP BY ALL)
-SELECT ref_id, target_id, round(coalesce(s, 0.0), 6) AS cosine FROM bp LEFT JOIN o USING (ref_id, target_id)"""
-
-
-# ---- candidates, features and models ---------------------------------------------------------------------------
+o AS (SELECT ref_id, target_id, sum(a.x * b.x) AS s FROM cd JOIN z a ON a.eid = ref_id JOIN z b ON b.eid = target_id AND a.gram = b.gram GROUP BY ALL)
+SELECT ref_id, target_id, round(coalesce(s, 0.0), 6) AS cosine FROM cd LEFT JOIN o USING (ref_id, target_id)"""
 
 
 def er_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -464,7 +576,7 @@ def _native_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Blocked pairs with a native score, in candidate order, with country, ref_idx and label."""
     from pyspark.sql import Window
 
-    rows = _with_texts(_blocked(spark, sf_dir), spark, sf_dir).select("ref_id", "target_id", _native_score().alias("score"))
+    rows = _with_texts(_pool(spark, sf_dir), spark, sf_dir).select("ref_id", "target_id", _native_score().alias("score"))
     place = F.row_number().over(Window.partitionBy("ref_id").orderBy(F.desc("score"), "target_id"))
     return learn.labelled(match.with_reference(rows.withColumn("cand_pos", place - 1), views.references(spark, sf_dir)), views.truth(spark, sf_dir))
 
@@ -530,7 +642,7 @@ def er_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def er_candidate_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
     refs, targets = _parts(spark, sf_dir)
-    out = metrics.candidate_statistics(refs.select(F.col("eid").alias("ref_id")), _blocked(spark, sf_dir), targets.count())
+    out = metrics.candidate_statistics(refs.select(F.col("eid").alias("ref_id")), _pool(spark, sf_dir), targets.count())
     return out.select(*[F.round(c, 6).alias(c) if c != "zero_candidates" else F.col(c) for c in out.columns])
 
 
@@ -539,7 +651,7 @@ def er_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def er_group_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return metrics.group_hits(learn.labelled(_blocked(spark, sf_dir), views.truth(spark, sf_dir)))
+    return metrics.group_hits(learn.labelled(_pool(spark, sf_dir), views.truth(spark, sf_dir)))
 
 
 def er_validation_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -551,7 +663,7 @@ def er_validation_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 def er_exact_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links of equal names and addresses among blocked pairs, each target to one reference."""
     refs, targets = _parts(spark, sf_dir)
-    pairs = _blocked(spark, sf_dir).withColumn("cand_pos", F.lit(0))
+    pairs = _pool(spark, sf_dir).withColumn("cand_pos", F.lit(0))
     return match.baseline(pairs, refs, targets, exact=True).filter("selected").select("ref_id", "target_id")
 
 
@@ -566,7 +678,7 @@ def er_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The number of offenders of each check, on inputs with planted faults."""
     good = views.part_records(spark, sf_dir, 2)
     bad = good.withColumn("entity_id", F.regexp_replace("entity_id", "^S2-", "S2-0")).unionByName(good)
-    pairs = _blocked(spark, sf_dir)
+    pairs = _pool(spark, sf_dir)
     targets = views.targets(spark, sf_dir).select(F.col("eid").alias("target_id"))
     counts = {
         "invalid_ids": validate.invalid_ids(bad, 2), "duplicate_ids": validate.duplicate_ids(good.unionByName(good)), "shared_targets": validate.shared_targets(pairs),
@@ -575,7 +687,7 @@ def er_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, [rows.agg(F.lit(name).alias("name"), F.count(F.lit(1)).alias("offenders")) for name, rows in counts.items()])
 
 
-CHECK_SQL = f"""{BLOCKED_SQL}
+CHECK_SQL = f"""{POOL_SQL}
 SELECT 'invalid_ids' AS name, count(*) AS offenders FROM rec WHERE source = 2 UNION ALL SELECT 'duplicate_ids', count(*) FROM rec WHERE source = 2
 UNION ALL SELECT 'shared_targets', count(*) FROM (SELECT target_id FROM bp GROUP BY 1 HAVING count(DISTINCT ref_id) > 1) UNION ALL SELECT 'repeated_targets', count(*) FROM bp UNION ALL SELECT 'unknown_targets', 0
 UNION ALL SELECT 'truth_outside', count(*) FROM rec r WHERE source > 1 AND k % 7 <> 0 AND NOT EXISTS (SELECT 1 FROM bp WHERE rk = r.k AND target_id = r.eid)"""
@@ -645,7 +757,7 @@ UNION ALL SELECT eid, 'target' FROM b WHERE source > 1 AND ((k % 7 <> 0 AND k IN
 
 def er_linear_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links scored by a linear support vector machine on set measures, as one column expression."""
-    rows = _with_texts(_blocked(spark, sf_dir), spark, sf_dir)
+    rows = _with_texts(_pool(spark, sf_dir), spark, sf_dir)
     names = ["core_jaccard", "address_jaccard", "number_jaccard"]
     made = rows.select("ref_id", "target_id", *[similarity.jaccard(F.col(f"a.{f}"), F.col(f"b.{f}")).alias(n) for f, n in zip(("core", "address", "numbers"), names, strict=True)])
     train = learn.labelled(made, views.truth(spark, sf_dir))
@@ -654,7 +766,7 @@ def er_linear_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def er_boosted_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cross-fitted probabilities of boosted trees on set measures."""
-    rows = _with_texts(_blocked(spark, sf_dir), spark, sf_dir)
+    rows = _with_texts(_pool(spark, sf_dir), spark, sf_dir)
     names = ["core_jaccard", "address_jaccard", "number_jaccard"]
     made = rows.select("ref_id", "target_id", *[similarity.jaccard(F.col(f"a.{f}"), F.col(f"b.{f}")).alias(n) for f, n in zip(("core", "address", "numbers"), names, strict=True)])
     train = learn.labelled(made, views.truth(spark, sf_dir)).cache()
@@ -717,12 +829,9 @@ SELECT eid, s2 AS is_second, CASE WHEN s2 THEN v WHEN s3 THEN v + 1073741824 END
 SELECT eid, country || '|' || substr(sha256(array_to_string(list_sort(ct), ' ')), 1, 16) AS name_key, CASE WHEN address = '' THEN '' ELSE country || '|' || substr(sha256(array_to_string(list_sort(string_split(address, ' ')), ' ')), 1, 16) END AS address_key FROM x""",
     "er_key_counts": f"{START} SELECT key, count(*) AS n FROM (SELECT key FROM pk WHERE source > 1 UNION ALL SELECT key FROM xk WHERE source > 1) GROUP BY key HAVING count(*) > 100",
     "er_blocked_pairs": f"{BLOCKED_SQL} SELECT ref_id, target_id FROM bp",
-    "er_broad_intersections": f"{INTERSECT_SQL} SELECT ref_id, false AS extra, pair::BIGINT AS pair, first, second FROM p UNION ALL SELECT ref_id, true, pair::BIGINT, first, second FROM px",
-    "er_intersected_pairs": f"""{INTERSECT_SQL},
-d AS (SELECT DISTINCT least(first, second) AS first, greatest(first, second) AS second FROM p),
-fo AS (SELECT d.first, d.second, x.eid AS target_id FROM d JOIN pk x ON x.key = d.first AND x.source > 1 JOIN pk y ON y.key = d.second AND y.eid = x.eid),
-ok AS (SELECT first, second FROM fo GROUP BY ALL HAVING count(*) <= {BLOCK})
-SELECT DISTINCT ref_id, target_id FROM p JOIN ok ON ok.first = least(p.first, p.second) AND ok.second = greatest(p.first, p.second) JOIN fo ON fo.first = ok.first AND fo.second = ok.second""",
+    **{f"er_broad_intersections{tail}": f"{_intersect_sql(block)} SELECT ref_id, false AS extra, pair::BIGINT AS pair, first, second FROM p UNION ALL SELECT ref_id, true, pair::BIGINT, first, second FROM px" for tail, block in (("", BLOCK), ("_40", LOW_BLOCK))},
+    **{f"er_intersected_pairs{tail}": f"{_intersect_sql(block)} SELECT ref_id, target_id FROM ip" for tail, block in (("", BLOCK), ("_40", LOW_BLOCK))},
+    "er_pool": f"{POOL_SQL} SELECT ref_id, target_id FROM bp",
     "er_empty_address_pairs": f"""WITH {ENTITY_SQL}, {EMPTY_SQL}, t AS (SELECT * FROM ek WHERE source > 1 AND address = ''), c AS (SELECT key FROM t GROUP BY key HAVING count(*) <= 1000)
 SELECT DISTINCT r.eid AS ref_id, t.eid AS target_id FROM ek r JOIN c USING (key) JOIN t USING (key) WHERE r.source = 1""",
     "er_set_similarity": f"""{PAIR_TEXT_SQL}
@@ -732,6 +841,9 @@ SELECT ref_id, target_id, round({_jaccard_sql("ac", "bc")}, 6) AS core_jaccard,
     "er_name_kernels": KERNEL_SQL,
     "er_gram_weights": GRAM_SQL,
     "er_gram_cosine": COSINE_SQL,
+    "er_candidates": f"{RANKED_SQL} SELECT ref_id, target_id, cand_pos::INT AS cand_pos, round(score, 6) AS score, round(name_score, 6) AS name_score, round(address_score, 6) AS address_score FROM cd",
+    "er_fuzzy_baseline": FUZZY_SQL,
+    "er_empty_address_candidates": EMPTY_CANDIDATE_SQL,
     "er_rival_counts": RIVAL_SQL,
     "er_policies": f"{SCORED_SQL} SELECT ref_id, target_id, score, before, selected FROM ow",
     "er_best_candidate": f"{SCORED_SQL} SELECT ref_id, target_id, score FROM sp WHERE pos = 0",
@@ -744,14 +856,14 @@ SELECT country, count(*) AS "references", round(avg(CASE WHEN x = 0 THEN CASE WH
   round(sum(rc) / nullif(sum(x), 0), 6) AS candidate_recall FROM s GROUP BY country""",
     "er_errors": f"""{SCORED_SQL}, l AS ({LINKS_SQL}), t AS (SELECT 'S1-' || k AS ref_id, eid AS target_id FROM rec WHERE source > 1 AND k % 7 <> 0)
 SELECT ref_id, target_id, 'false_positive' AS kind FROM l ANTI JOIN t USING (ref_id, target_id) UNION ALL SELECT ref_id, target_id, 'false_negative' FROM t ANTI JOIN l USING (ref_id, target_id)""",
-    "er_candidate_statistics": f"""{BLOCKED_SQL}, n AS (SELECT eid, (SELECT count(*) FROM bp WHERE ref_id = eid) AS n FROM rec WHERE source = 1)
+    "er_candidate_statistics": f"""{POOL_SQL}, n AS (SELECT eid, (SELECT count(*) FROM bp WHERE ref_id = eid) AS n FROM rec WHERE source = 1)
 SELECT round(avg(n), 6) AS mean_candidates, round(quantile_cont(n, 0.95), 6) AS p95_candidates, count(*) FILTER (n = 0) AS zero_candidates, round(1 - sum(n) / (count(*) * (SELECT count(*) FROM rec WHERE source > 1)), 6) AS reduction_ratio FROM n""",
     "er_profile": f"WITH {ENTITY_SQL} SELECT country, count(*) AS rows, count(*) FILTER (trim(business_name) = '') AS missing_names, count(*) FILTER (trim(business_address) = '') AS missing_addresses FROM rec WHERE source > 1 GROUP BY country",
-    "er_group_hits": f"{BLOCKED_SQL} SELECT ref_id, count(*) AS pairs, count(*) FILTER (rk = tk AND rk % 7 <> 0) AS hits FROM bp GROUP BY ref_id",
+    "er_group_hits": f"{POOL_SQL} SELECT ref_id, count(*) AS pairs, count(*) FILTER (rk = tk AND rk % 7 <> 0) AS hits FROM bp GROUP BY ref_id",
     "er_validation_totals": f"""{SCORED_SQL}, l AS (SELECT ref_id, count(*) AS m FROM ow WHERE selected GROUP BY 1), c2 AS (SELECT ref_id, count(*) AS c FROM sp GROUP BY 1)
 SELECT country, count(*) AS rows, coalesce(sum(m), 0)::BIGINT AS predicted_links, coalesce(sum(c), 0)::BIGINT AS candidate_pairs, max(coalesce(c, 0)) AS max_candidates, count(*) FILTER (m IS NULL) AS empty_match_rows, count(*) FILTER (c IS NULL) AS empty_candidate_rows
 FROM ent LEFT JOIN l ON l.ref_id = eid LEFT JOIN c2 ON c2.ref_id = eid WHERE source = 1 GROUP BY country""",
-    "er_exact_baseline": f"{BLOCKED_SQL}, x AS (SELECT ref_id, target_id, rk FROM bp JOIN ent a ON a.eid = ref_id JOIN ent b ON b.eid = target_id WHERE a.name <> '' AND a.address <> '' AND a.name = b.name AND a.address = b.address) SELECT ref_id, target_id FROM x QUALIFY row_number() OVER (PARTITION BY target_id ORDER BY rk) = 1",
+    "er_exact_baseline": f"{POOL_SQL}, x AS (SELECT ref_id, target_id, rk FROM bp JOIN ent a ON a.eid = ref_id JOIN ent b ON b.eid = target_id WHERE a.name <> '' AND a.address <> '' AND a.name = b.name AND a.address = b.address) SELECT ref_id, target_id FROM x QUALIFY row_number() OVER (PARTITION BY target_id ORDER BY rk) = 1",
     "er_checks": CHECK_SQL,
     "er_decisions": f"{FLAG_SQL} SELECT ref_id, target_id, decision, owner FROM de QUALIFY row_number() OVER (PARTITION BY ref_id ORDER BY score DESC, target_id) <= 10 OR selected",
     "er_review_flags": f"{FLAG_SQL} SELECT ref_id, array_to_string(flags, ';') AS flags, matches, candidates FROM rf",
