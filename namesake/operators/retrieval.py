@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -13,10 +15,11 @@ MAX_BLOCK, MAX_BROAD, TOP_K = 1000, 50000, 80
 NAME_LANE, ADDRESS_LANE = 10, 15
 
 
-def key_rows(entities: DataFrame, extra: bool = False) -> DataFrame:
-    """eid, key: one row for each blocking key of each entity."""
-    make = keys.extra_keys if extra else keys.primary_keys
-    return entities.select("eid", F.explode(make(F.col("core"), F.col("address"), F.col("country"))).alias("key"))
+def key_rows(entities: DataFrame, extra: bool = False, both: bool = False) -> DataFrame:
+    """eid, key: one row for each blocking key of each entity, of one set of families or of both (no key is in both)."""
+    of = lambda make: make(F.col("core"), F.col("address"), F.col("country"))
+    made = F.concat(of(keys.primary_keys), of(keys.extra_keys)) if both else of(keys.extra_keys if extra else keys.primary_keys)
+    return entities.select("eid", F.explode(made).alias("key"))
 
 
 def key_counts(rows: DataFrame) -> DataFrame:
@@ -45,45 +48,56 @@ def broad_keys(ref_keys: DataFrame, counts: DataFrame, max_block: int, max_broad
     return ref_keys.join(wide, "key").select(F.col("eid").alias("ref_id"), "key", "n", keys.family(F.col("key")).alias("family"))
 
 
-def _first(rows: DataFrame, families: list[str], nth: int = 1) -> DataFrame:
-    """ref_id and the nth rarest key of the families, as a struct (n, key)."""
-    order = Window.partitionBy("ref_id").orderBy("n", "key")
-    ranked = rows.filter(F.col("family").isin(families)).withColumn("nth", F.row_number().over(order))
-    return ranked.filter(F.col("nth") == nth).select("ref_id", F.struct("n", "key").alias("one"))
+PAIRS = "array<struct<first:string,second:string,first_n:bigint,second_n:bigint>>"
 
 
-PAIRS = "array<struct<first:string,second:string,first_n:bigint,second_n:bigint>>"
+def _chosen(broad: DataFrame, *choices: Callable[[Column], Column]) -> DataFrame:
+    """ref_id, pair, first, second and their counts: what the choices make of the broad keys of a reference, rarest first.
+
+    One aggregation a reference: its broad keys are few, as every reference has a bounded number of keys.
+    """
+    own = broad.groupBy("ref_id").agg(F.array_sort(F.collect_list(F.struct("n", "key", "family"))).alias("own"))
+    found = own.select("ref_id", F.posexplode(F.concat(*[choose(F.col("own")) for choose in choices])).alias("pair", "keys"))
+    return found.filter("keys IS NOT NULL").select("ref_id", "pair", "keys.*")
+
+
+def _pair(a: Column, b: Column) -> Column:
+    """The pair of two keys, or null if there is not either."""
+    both = F.struct(a["key"].alias("first"), b["key"].alias("second"), a["n"].alias("first_n"), b["n"].alias("second_n"))
+    return F.when(a.isNotNull() & b.isNotNull(), both)
+
+
+def _of(own: Column, *families: str) -> Callable[[int], Column]:
+    found = F.filter(own, lambda k: k["family"].isin(*families))
+    return lambda i: F.get(found, F.lit(i))
+
+
+def _primary(own: Column) -> Column:
+    named, placed, token = _of(own, "t", "e", "n"), _of(own, "at"), _of(own, "t")
+    number = lambda k: F.get(F.split(k["key"], r"\|"), F.lit(2))
+    other = F.get(F.filter(own, lambda k: (k["family"] == "at") & (number(k) != number(placed(0)))), F.lit(0))
+    pairs = F.filter(F.array(_pair(named(0), placed(0)), _pair(placed(0), other)), lambda p: p.isNotNull())
+    last = F.filter(F.array(_pair(token(0), token(1))), lambda p: p.isNotNull())
+    return F.when(F.size(pairs) > 0, pairs).otherwise(last).cast(PAIRS)
+
+
+def _extra(own: Column) -> Column:
+    word, name = _of(own, "w"), _of(own, "f")
+    return F.array(_pair(word(0), word(1)), _pair(name(0), name(1)), _pair(word(0), name(0))).cast(PAIRS)
 
 
 def primary_intersections(broad: DataFrame) -> DataFrame:
     """ref_id, pair, first, second and their counts: at most two pairs of broad keys of a reference.
 
-    The lightest name key with the lightest address key; the lightest address key with the next of another number; if
-    there is neither, the two lightest name tokens.  One aggregation a reference: its broad keys are few, as every
-    reference has a bounded number of keys.
+    The rarest name key with the rarest address key; the rarest address key with the next of another number; if there
+    is neither, the two rarest name tokens.
     """
-    own = broad.groupBy("ref_id").agg(F.array_sort(F.collect_list(F.struct("n", "key", "family"))).alias("own"))
-    named = F.filter("own", lambda k: k["family"].isin("t", "e", "n"))
-    placed = F.filter("own", lambda k: k["family"] == "at")
-    number = lambda k: F.get(F.split(k["key"], r"\|"), F.lit(2))
-    other = F.filter(placed, lambda k: number(k) != number(F.get(placed, F.lit(0))))
-    tokens = F.filter("own", lambda k: k["family"] == "t")
-    pair = lambda a, b: F.struct(F.get(a, F.lit(0))["key"].alias("first"), b["key"].alias("second"), F.get(a, F.lit(0))["n"].alias("first_n"), b["n"].alias("second_n"))
-    both = F.when((F.size(named) > 0) & (F.size(placed) > 0), F.array(pair(named, F.get(placed, F.lit(0))))).otherwise(F.array().cast(PAIRS))
-    two = F.when(F.size(other) > 0, F.array(pair(placed, F.get(other, F.lit(0))))).otherwise(F.array().cast(PAIRS))
-    last = F.when(F.size(tokens) > 1, F.array(pair(tokens, F.get(tokens, F.lit(1))))).otherwise(F.array().cast(PAIRS))
-    pairs = F.concat(both, two)
-    return own.select("ref_id", F.posexplode(F.when(F.size(pairs) > 0, pairs).otherwise(last)).alias("pair", "keys")).select("ref_id", "pair", "keys.*")
+    return _chosen(broad, _primary)
 
 
 def extra_intersections(broad: DataFrame) -> DataFrame:
     """ref_id, pair, first, second and their counts: two words, two full names, and a word with a full name."""
-    words, names = [_first(broad, ["w"], i) for i in (1, 2)], [_first(broad, ["f"], i) for i in (1, 2)]
-    pairs = None
-    for number, (a, b) in enumerate(((words[0], words[1]), (names[0], names[1]), (words[0], names[0]))):
-        found = a.join(b.withColumnRenamed("one", "two"), "ref_id").select("ref_id", F.lit(number).alias("pair"), F.col("one.key").alias("first"), F.col("two.key").alias("second"), F.col("one.n").alias("first_n"), F.col("two.n").alias("second_n"))
-        pairs = found if pairs is None else pairs.unionByName(found)
-    return pairs
+    return _chosen(broad, _extra)
 
 
 def intersect(pairs: DataFrame, target_keys: DataFrame, max_block: int = MAX_BLOCK) -> DataFrame:
@@ -102,16 +116,14 @@ def intersect(pairs: DataFrame, target_keys: DataFrame, max_block: int = MAX_BLO
 
 
 def candidate_pool(refs: DataFrame, targets: DataFrame, max_block: int = MAX_BLOCK, extra: bool = True) -> DataFrame:
-    """ref_id, target_id: the union of what single keys and intersections of broad keys find in both key sets."""
-    pool = None
-    for is_extra, choose in ((False, primary_intersections), (True, extra_intersections)):
-        if is_extra and not extra:
-            continue
-        rk, tk = key_rows(refs, is_extra), key_rows(targets, is_extra)
-        counts = key_counts(tk)
-        found = blocked_pairs(rk, tk, counts, max_block).unionByName(intersect(choose(broad_keys(rk, counts, max_block)), tk, max_block))
-        pool = found if pool is None else pool.unionByName(found)
-    return pool.distinct()
+    """ref_id, target_id: the union of what single keys and intersections of broad keys find in both key sets.
+
+    Both sets are one table of keys, so each side is exploded, counted and joined once.
+    """
+    rk, tk = key_rows(refs, both=extra), key_rows(targets, both=extra)
+    counts = key_counts(tk)
+    pairs = _chosen(broad_keys(rk, counts, max_block), *([_primary, _extra] if extra else [_primary]))
+    return blocked_pairs(rk, tk, counts, max_block).unionByName(intersect(pairs, tk, max_block)).distinct()
 
 
 def prepared(entities: DataFrame) -> DataFrame:
