@@ -33,3 +33,15 @@ INDIA_STATES = {
     "uttaranchal": "ut", "west bengal": "wb", "delhi": "dl",
 }
 STATES = {"us": US_STATES, "india": INDIA_STATES}
+#: Latin letters without a decomposition, and the letters of Cyrillic and Greek, in their usual spelling (fixed values).
+LATIN_SPELLING = {"ß": "ss", "æ": "ae", "œ": "oe", "ø": "o", "ł": "l", "đ": "d", "ð": "d", "þ": "th", "ı": "i"}
+CYRILLIC_SPELLING = {
+    "а": "a", "б": "b", "в": "v", "г": "g", "д": "d", "е": "e", "ё": "e", "ж": "zh", "з": "z", "и": "i", "й": "y", "к": "k", "л": "l", "м": "m", "н": "n", "о": "o", "п": "p", "р": "r", "с": "s",
+    "т": "t", "у": "u", "ф": "f", "х": "kh", "ц": "ts", "ч": "ch", "ш": "sh", "щ": "shch", "ъ": "", "ы": "y", "ь": "", "э": "e", "ю": "yu", "я": "ya",
+}
+GREEK_SPELLING = {
+    "α": "a", "β": "v", "γ": "g", "δ": "d", "ε": "e", "ζ": "z", "η": "i", "θ": "th", "ι": "i", "κ": "k", "λ": "l", "μ": "m", "ν": "n", "ξ": "x", "ο": "o", "π": "p", "ρ": "r", "σ": "s", "ς": "s",
+    "τ": "t", "υ": "y", "φ": "f", "χ": "ch", "ψ": "ps", "ω": "o",
+}
+#: First code points of the Indic blocks whose letters stand at the same places as those of Devanagari (fixed values).
+DEVANAGARI, INDIC = 0x900, [0x980, 0xA00, 0xA80, 0xB00, 0xB80, 0xC00, 0xC80, 0xD00]

@@ -1,8 +1,10 @@
 """Scalar string functions as Spark columns.
 
-Everything runs in the JVM on text of Latin scripts: accents are folded by one ``translate`` whose table is built from
-the Unicode decompositions.  ``normalize_unicode`` is the general form for other scripts, an Arrow
-function; it agrees with the native one on Latin text.  The empty string is the missing value throughout.
+Everything runs in the JVM: accents and capitals are folded by one ``translate`` whose table is built from the Unicode
+decompositions, for every character that folds to one.  ``normalize`` gives other texts, those with characters that fold
+to several (ligatures, Hangul, vowel signs of two parts), to ``normalize_unicode``, an Arrow function that is
+handed null for all the rest.  Latin, Greek, Cyrillic and Indic letters are transliterated.  The empty string is the
+missing value throughout.
 """
 
 from __future__ import annotations
@@ -19,18 +21,31 @@ from namesake.functions import lexicon
 WORD = r"[\p{L}\p{M}\p{N}]+"
 
 
-def _folding() -> tuple[str, str]:
-    """Latin letters and what is left of each when its decomposition loses its accents: one character each."""
-    source, target = [], []
-    for code in range(0xC0, 0x250):
-        plain = "".join(c for c in unicodedata.normalize("NFKD", chr(code).casefold()) if not 0x300 <= ord(c) <= 0x36F)
-        if len(plain) == 1 and plain != chr(code):
-            source.append(chr(code))
-            target.append(plain)
-    return "".join(source), "".join(target)
+def _fold(text: str) -> str:
+    """Case folding and compatibility decomposition without combining accents."""
+    return "".join(c for c in unicodedata.normalize("NFKD", text.casefold()) if not 0x300 <= ord(c) <= 0x36F)
 
 
-FOLD_FROM, FOLD_TO = _folding()
+def _folding() -> tuple[str, str, str]:
+    """Letters that fold to another one and these, and a class of the characters that fold to something else."""
+    source, target, other = [], [], []
+    for code in range(0x80, 0x10000):
+        if 0x300 <= code <= 0x36F or 0xD800 <= code <= 0xDFFF or chr(code) == "ß":
+            continue
+        plain = _fold(chr(code))
+        if plain == chr(code).lower():
+            continue
+        if len(plain) == 1 and len(chr(code).lower()) == 1:
+            source += dict.fromkeys((chr(code), chr(code).lower()))
+            target += [plain] * (len(source) - len(target))
+        elif other and other[-1][1] == code - 1:
+            other[-1][1] = code
+        else:
+            other.append([code, code])
+    return "".join(source), "".join(target), "[" + "".join(f"\\u{a:04x}-\\u{b:04x}" for a, b in other) + "\\x{10000}-\\x{10ffff}]"
+
+
+FOLD_FROM, FOLD_TO, SEVERAL = _folding()
 ACCENTS = "[\\u0300-\\u036f]"
 
 
@@ -45,23 +60,27 @@ def joined(tokens: Column, by: str = " ") -> Column:
 
 def normalize(text: Column) -> Column:
     """Lower case, accents folded, "&" spelled out, runs of letters, marks and digits joined by single spaces."""
+    return F.coalesce(normalize_unicode(F.when(~ascii_only(text) & text.rlike(SEVERAL), text)), normalize_native(text))
+
+
+def normalize_native(text: Column) -> Column:
+    """The same for texts in which every character folds to one (and ß)."""
     low = F.replace(F.lower(text), F.lit("ß"), F.lit("ss"))
-    plain = F.regexp_replace(F.translate(low, FOLD_FROM, FOLD_TO), ACCENTS, "")
+    plain = F.when(ascii_only(text), low).otherwise(F.regexp_replace(F.translate(low, FOLD_FROM, FOLD_TO), ACCENTS, ""))
     return joined(F.regexp_extract_all(F.replace(plain, F.lit("&"), F.lit(" and ")), F.lit(WORD), F.lit(0)))
 
 
 def fold_unicode(value: str) -> str:
-    """What `normalize` gives, for any script: case folding and compatibility decomposition without combining accents."""
+    """What `normalize` gives, for any text."""
     import regex
 
-    plain = regex.sub("[̀-ͯ]", "", unicodedata.normalize("NFKD", value.casefold()))
-    return " ".join(regex.findall(WORD, plain.replace("&", " and ")))
+    return " ".join(regex.findall(WORD, _fold(value).replace("&", " and ")))
 
 
 @F.pandas_udf(T.StringType())
 def normalize_unicode(text: pd.Series) -> pd.Series:
     memo = {v: fold_unicode(v) for v in text.dropna().unique()}
-    return text.map(memo)
+    return pd.Series([memo.get(v) for v in text], dtype=object)
 
 
 def core(name: Column) -> Column:
@@ -80,12 +99,43 @@ def ascii_only(text: Column) -> Column:
     return F.octet_length(text) == F.length(text)
 
 
+def _indic() -> dict[str, str]:
+    """Spelling of the Devanagari letters, signs and digits by their Unicode names: consonants without their vowel."""
+    out = {}
+    for code in range(lexicon.DEVANAGARI, lexicon.DEVANAGARI + 0x80):
+        sort, _, name = unicodedata.name(chr(code), "").removeprefix("DEVANAGARI ").removeprefix("VOWEL ").partition(" ")
+        sound = name.removeprefix("CANDRA ").removeprefix("SHORT ").removeprefix("VOCALIC ").lower()
+        if sort in ("SIGN", "LETTER") and sound in ("a", "aa", "i", "ii", "u", "uu", "e", "ai", "o", "au", "r", "rr", "l", "ll"):
+            out[chr(code)] = sound if sound in ("ai", "au") else sound[0]
+        elif sort == "LETTER" and name.endswith("A") and " " not in name:
+            out[chr(code)] = sound[:-1][1:] if sound[:2] in ("tt", "dd", "nn", "ss", "rr", "ll") else sound[:-1]
+        elif sort == "SIGN":
+            out[chr(code)] = {"ANUSVARA": "n", "CANDRABINDU": "n", "VISARGA": "h"}.get(name, "")
+        elif sort == "DIGIT":
+            out[chr(code)] = str(unicodedata.digit(chr(code)))
+    return out
+
+
+def _spelling() -> tuple[dict[str, str], str, str]:
+    """Letters that are spelled with several or none, and those with one and what they become."""
+    known = lexicon.LATIN_SPELLING | lexicon.CYRILLIC_SPELLING | lexicon.GREEK_SPELLING | _indic()
+    one = {a: b for a, b in known.items() if len(b) == 1}
+    return {a: b for a, b in known.items() if len(b) != 1}, "".join(one), "".join(one.values())
+
+
+SPELLED, SPELLED_FROM, SPELLED_TO = _spelling()
+#: The letters of the other Indic blocks, and those of Devanagari at the same places.
+INDIC_FROM = "".join(chr(block + i) for block in lexicon.INDIC for i in range(0x80))
+INDIC_TO = "".join(chr(lexicon.DEVANAGARI + i) for _ in lexicon.INDIC for i in range(0x80))
+
+
 def transliterated(text: Column) -> Column:
-    """Latin text in ASCII, lower case.  Letters without a decomposition get their usual spelling."""
-    spelled = F.lower(text)
-    for letter, spelling in {"ß": "ss", "æ": "ae", "œ": "oe", "ø": "o", "ł": "l", "đ": "d", "ð": "d", "þ": "th", "ı": "i"}.items():
+    """Latin, Greek, Cyrillic and Indic text in ASCII, lower case; letters of other scripts stay as they are."""
+    spelled = F.translate(F.lower(text), INDIC_FROM, INDIC_TO)
+    for letter, spelling in SPELLED.items():
         spelled = F.replace(spelled, F.lit(letter), F.lit(spelling))
-    return F.regexp_replace(F.translate(spelled, FOLD_FROM, FOLD_TO), ACCENTS, "")
+    folded = F.regexp_replace(F.translate(spelled, FOLD_FROM, FOLD_TO), ACCENTS, "")
+    return F.when(ascii_only(text), F.lower(text)).otherwise(F.translate(folded, SPELLED_FROM, SPELLED_TO))
 
 
 def roman_tokens(text: Column) -> Column:

@@ -24,10 +24,36 @@ def test_native_and_general_normalisation_agree(ask, value):
     assert ask(text.normalize, value) == text.fold_unicode(value)
 
 
-def test_other_scripts(spark):
-    value = "ﬁrm हिन्दी Straße"
-    row = spark.createDataFrame([(value,)], "v string").select(text.normalize_unicode("v").alias("x")).first()
-    assert row["x"] == text.fold_unicode(value) == "firm हिन्दी strasse"
+@pytest.mark.parametrize("value", ["ﬁrm हिन्दी Straße", "ΑΘΉΝΑ Ο.Ε. & ΣΊΑ", "Общество Ёлка", "한국 상사", "ＦＵＬＬ ｗｉｄｔｈ ½", "கொ ொ കൊ", "ঢাকা ড়", "𝔸bc", "الشركة ﷲ", "株式会社"])
+def test_other_scripts(ask, value):
+    assert ask(text.normalize, value) == text.fold_unicode(value)
+
+
+def test_only_what_folds_to_several_goes_to_python(spark):
+    import re
+
+    several = re.compile(text.SEVERAL.replace("\\x{10000}-\\x{10ffff}", "\U00010000-\U0010ffff"))
+    for value in NAMES[:4] + NAMES[5:7] + ["हिन्दी लिमिटेड", "Общество", "Αθήνα", "株式会社"]:
+        assert not several.search(value), value
+    assert several.search("ﬁ") and several.search("한")
+
+
+def test_transliteration(ask):
+    assert ask(text.transliterated, "प्राइवेट लि") == "praivet li" and ask(text.transliterated, "प्रा") == "pra"
+    assert ask(text.transliterated, "हिन्दी १२") == "hindi 12" and ask(text.transliterated, "গুজরাট") == "gujrat" and ask(text.transliterated, "ಬೆಂಗಳೂರು") == "bengluru"
+    assert ask(text.transliterated, "Общество Щука") == "obshchestvo shchuka" and ask(text.transliterated, "Αθήνα Ψυχή") == "athina psychi"
+    assert ask(text.transliterated, "Øresund Łódź") == "oresund lodz"
+    assert ask(text.roman_core, "टाटा प्राइवेट लि") == "tata" and ask(text.phonetic, "दिल्ली") == ask(text.phonetic, "dilli")
+
+
+def test_records_of_other_scripts_share_keys(spark):
+    """A name in Devanagari and its spelling in Latin letters meet under a sound key."""
+    rows = [("a", "मुंबई बेकरी", "1 x road", "India"), ("b", "munbi bekri", "2 y road", "India")]
+    from namesake.sources import records
+
+    made = records.entities(spark.createDataFrame(rows, "entity_id string, business_name string, business_address string, country string"))
+    found = {r["eid"]: {k for k in r["k"] if "|s|" in k} for r in made.select("eid", keys.extra_keys(F.col("core"), F.col("address"), F.col("country")).alias("k")).collect()}
+    assert found["a"] & found["b"]
 
 
 def test_core(ask):
