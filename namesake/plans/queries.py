@@ -16,6 +16,7 @@ from namesake.operators import competition, context, features, learn, metrics, p
 from namesake.plans import match, views
 from namesake.plans.views import ENTITY_SQL, load
 from namesake.sources import records, sinks
+from namesake.sources.shared import materialise, work_dir
 
 #: The production cap of a key, and a lower one at which the small tables have keys to intersect too.
 BLOCK, LOW_BLOCK = retrieval.MAX_BLOCK, 40
@@ -29,6 +30,12 @@ def _parts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return views.references(spark, sf_dir), views.targets(spark, sf_dir)
 
 
+def _stored(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """References and targets, written once for all the places that read them."""
+    refs, targets = _parts(spark, sf_dir)
+    return materialise(refs, "references"), materialise(targets, "targets")
+
+
 def _everyone(spark: SparkSession, sf_dir: str) -> DataFrame:
     refs, targets = _parts(spark, sf_dir)
     return refs.drop("ref_idx").unionByName(targets)
@@ -234,7 +241,7 @@ def er_blocked_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _pool(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All that production retrieval ranks: both key families, single keys and intersections."""
-    return retrieval.candidate_pool(*_parts(spark, sf_dir))
+    return retrieval.candidate_pool(*_stored(spark, sf_dir))
 
 
 def er_pool(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -515,13 +522,13 @@ SELECT ref_id, target_id, round(coalesce(s, 0.0), 6) AS cosine FROM cd LEFT JOIN
 
 def er_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The three-lane ranking with production limits."""
-    out = retrieval.candidates(*_parts(spark, sf_dir))
+    out = retrieval.candidates(*_stored(spark, sf_dir))
     return out.select("ref_id", "target_id", "cand_pos", *[F.round(c, 6).alias(c) for c in ("score", "name_score", "address_score")])
 
 
 def _candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole candidate groups that the matcher uses, with production limits."""
-    return retrieval.candidates(*_parts(spark, sf_dir)).select("ref_id", "target_id", "cand_pos")
+    return retrieval.candidates(*_stored(spark, sf_dir)).select("ref_id", "target_id", "cand_pos")
 
 
 def _rounded(rows: DataFrame, names: list[str]) -> DataFrame:
@@ -533,6 +540,52 @@ def er_pair_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(rows, [*features.BASE, *features.RARITY])
 
 
+#: Features that SQL computes too: all pair features but partial, phonetic and fuzzy-number measures and letter rarity.
+PLAIN_FEATURES = (
+    "name_ratio name_sorted name_set core_ratio core_sorted address_ratio address_sorted address_set name_jaccard address_jaccard number_jaccard first_number_equal name_exact address_exact "
+    "name_length_ratio address_length_ratio name_missing address_missing normalized_number_jaccard normalized_number_containment different_script compact_name_ratio name_token_containment "
+    "address_token_containment anchor_name_words target_name_words target_name_digits target_name_letters joined_number_ratio anchor_name_frequency target_name_frequency anchor_address_frequency target_address_frequency"
+).split()
+
+
+def er_plain_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pair features that SQL has too, of every candidate."""
+    return _rounded(features.pair_features(_candidates(spark, sf_dir), *_stored(spark, sf_dir)), PLAIN_FEATURES)
+
+
+def _flag_sql(condition: str) -> str:
+    return f"CASE WHEN {condition} THEN 1.0 ELSE 0.0 END"
+
+
+def _containment_sql(a: str, b: str) -> str:
+    return f"len(list_intersect({a}, {b})) / greatest(1, least(len(list_distinct({a})), len(list_distinct({b}))))"
+
+
+_LEAST_LENGTH = "least(length(a.{0}), length(b.{0})) / greatest(length(a.{0}), length(b.{0}), 1)"
+_PLAIN = {
+    "name_ratio": _ratio_sql("name"), "name_sorted": _ratio_sql("ns"), "name_set": "sn.v", "core_ratio": _ratio_sql("core"), "core_sorted": _ratio_sql("cs"), "address_ratio": _ratio_sql("address"),
+    "address_sorted": _ratio_sql("ad"), "address_set": "ts.v", "name_jaccard": _jaccard_sql("a.cw", "b.cw"), "address_jaccard": _jaccard_sql("a.aw", "b.aw"), "number_jaccard": _jaccard_sql("a.nr", "b.nr"),
+    "first_number_equal": _flag_sql("coalesce(a.nr[1] = b.nr[1], false)"), "name_exact": _flag_sql("a.name <> '' AND a.name = b.name"), "address_exact": _flag_sql("a.address <> '' AND a.address = b.address"),
+    "name_length_ratio": _LEAST_LENGTH.format("core"), "address_length_ratio": _LEAST_LENGTH.format("address"), "name_missing": _flag_sql("a.name = '' OR b.name = ''"),
+    "address_missing": _flag_sql("a.address = '' OR b.address = ''"), "normalized_number_jaccard": _jaccard_sql("a.nums", "b.nums"), "normalized_number_containment": _containment_sql("a.nums", "b.nums"),
+    "different_script": _flag_sql("(strlen(a.core) = length(a.core)) <> (strlen(b.core) = length(b.core))"), "compact_name_ratio": _ratio_sql("rc"), "name_token_containment": _containment_sql("a.cw", "b.cw"),
+    "address_token_containment": _containment_sql("a.aw", "b.aw"), "anchor_name_words": "len(a.cw)", "target_name_words": "len(b.cw)", "target_name_digits": "length(regexp_replace(b.core, '[^0-9]', '', 'g'))",
+    "target_name_letters": "length(regexp_replace(b.core, '[^a-z]', '', 'g'))", "joined_number_ratio": _ratio_sql("dg"), "anchor_name_frequency": "ln(1 + coalesce(fa.n, 0))", "target_name_frequency": "ln(1 + coalesce(fb.n, 0))",
+    "anchor_address_frequency": "ln(1 + coalesce(ga.n, 0))", "target_address_frequency": "ln(1 + coalesce(gb.n, 0))",
+}
+PLAIN_SQL = f"""{RANKED_SQL},
+ex AS (
+  SELECT eid AS id, list_filter(string_split(core, ' '), lambda t: t <> '') AS cw, list_filter(string_split(address, ' '), lambda t: t <> '') AS aw, regexp_extract_all(address, '\\b[0-9]+\\b') AS nr,
+    array_to_string(list_filter(regexp_extract_all(core, '[a-z0-9]+'), lambda t: t NOT IN ({_listed(lexicon.ROMAN_LEGAL)})), '') AS rc, regexp_replace(address, '[^0-9]', '', 'g') AS dg,
+    country || '|e|' || substr(sha256(cs), 1, 16) AS ek1, substr(sha256(address), 1, 16) AS ah FROM rs),
+ey AS MATERIALIZED (SELECT rm.*, ex.*, {_masks_sql("name")} AS name_m, {_masks_sql("core")} AS core_m, {_masks_sql("address")} AS address_m, {_masks_sql("rc")} AS rc_m, {_masks_sql("dg")} AS dg_m FROM rm JOIN ex ON id = eid),
+pn AS (SELECT ref_id, target_id, a.name AS x, b.name AS y FROM cd JOIN ent a ON a.eid = ref_id JOIN ent b ON b.eid = target_id), {_set_sql("sn", "pn", "x", "y")}
+SELECT ref_id, target_id, {", ".join(f"round(({sql})::DOUBLE, 4) AS {name}" for name, sql in _PLAIN.items())}
+FROM cd JOIN ts USING (ref_id, target_id) JOIN sn USING (ref_id, target_id) JOIN ey a ON a.eid = ref_id JOIN ey b ON b.eid = target_id
+LEFT JOIN c fa ON fa.key = a.ek1 LEFT JOIN c fb ON fb.key = b.ek1
+LEFT JOIN c ga ON a.address <> '' AND ga.key = a.country || '|a|' || a.ah LEFT JOIN c gb ON b.address <> '' AND gb.key = a.country || '|a|' || b.ah"""
+
+
 def er_group_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Context and posterior features; a stand-in score takes the first stage's place."""
     refs, targets = _parts(spark, sf_dir)
@@ -669,7 +722,7 @@ def er_exact_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def er_fuzzy_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The flagship: retrieval, ranking, fixed fuzzy scores and ownership, from records to links."""
-    refs, targets = _parts(spark, sf_dir)
+    refs, targets = _stored(spark, sf_dir)
     links = match.baseline(retrieval.candidates(refs, targets), refs, targets).filter("selected")
     return links.select("ref_id", "target_id", "cand_pos", F.round("score", 6).alias("score"))
 
@@ -755,6 +808,17 @@ SELECT eid, 'reference' AS role FROM f
 UNION ALL SELECT eid, 'target' FROM b WHERE source > 1 AND ((k % 7 <> 0 AND k IN (SELECT k FROM f)) OR (NOT (k % 7 <> 0 AND k IN (SELECT k FROM f)) AND bk < 1000))"""
 
 
+#: Stated weights of the three set measures and an intercept.
+MARGIN = (2.5, 1.5, 0.75, -1.25)
+
+
+def er_linear_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs scored by a linear machine of stated weights, as one column expression."""
+    rows = _with_texts(_pool(spark, sf_dir), spark, sf_dir)
+    made = rows.select("ref_id", "target_id", *[similarity.jaccard(F.col(f"a.{f}"), F.col(f"b.{f}")).alias(f) for f in ("core", "address", "numbers")])
+    return made.select("ref_id", "target_id", F.round(learn.margin(["core", "address", "numbers"], list(MARGIN[:3]), MARGIN[3]), 6).alias("margin"))
+
+
 def er_linear_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links scored by a linear support vector machine on set measures, as one column expression."""
     rows = _with_texts(_pool(spark, sf_dir), spark, sf_dir)
@@ -773,6 +837,16 @@ def er_boosted_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return learn.cross_fitted(train, names, lambda: learn.boosted(names, trees=5, depth=3))[0].select("ref_id", "target_id", "split", "label", F.round(F.col("probability").cast("double"), 4).alias("probability"))
 
 
+def er_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both stages trained on generated records (120 references) and applied to them, added candidates included."""
+    raw, more, truth, _ = records.synthetic_frames(spark, 120)
+    refs = materialise(records.entities(raw).withColumn("ref_idx", F.split("eid", "-")[1].cast("long")), "references")
+    targets = materialise(records.entities(more).withColumn("rid", F.monotonically_increasing_id()), "targets")
+    found = materialise(retrieval.candidates(refs, targets), "candidates")
+    trained = match.train(refs, targets, truth, found, settings=[(10, 4)], base=(10, 4), extra_threshold=0.5)
+    return match.predict(refs, targets, found, trained).select("ref_id", "target_id", "is_extra", F.round(F.col("score").cast("double"), 4).alias("score"), "before", "selected")
+
+
 def er_synthetic(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The generator's records, all three sources."""
     refs, targets, _, _ = records.synthetic_frames(spark)
@@ -781,13 +855,9 @@ def er_synthetic(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def er_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """References that arrive as files, blocked against the targets in micro-batches."""
-    import tempfile
-    import uuid
-
     from namesake.streaming import micro_batches
 
-    top = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp()
-    path = f"{top.rstrip('/')}/namesake/stream-{uuid.uuid4().hex}"
+    path = work_dir(spark, "stream")
     views.part_records(spark, sf_dir, 1).repartition(3).write.parquet(f"{path}/in")
     tk = retrieval.key_rows(views.targets(spark, sf_dir))
     counts = retrieval.key_counts(tk)
@@ -843,6 +913,8 @@ SELECT ref_id, target_id, round({_jaccard_sql("ac", "bc")}, 6) AS core_jaccard,
     "er_gram_cosine": COSINE_SQL,
     "er_candidates": f"{RANKED_SQL} SELECT ref_id, target_id, cand_pos::INT AS cand_pos, round(score, 6) AS score, round(name_score, 6) AS name_score, round(address_score, 6) AS address_score FROM cd",
     "er_fuzzy_baseline": FUZZY_SQL,
+    "er_plain_features": PLAIN_SQL,
+    "er_linear_scores": f"{PAIR_TEXT_SQL} SELECT ref_id, target_id, round({MARGIN[0]} * {_jaccard_sql('ac', 'bc')} + {MARGIN[1]} * {_jaccard_sql('aa', 'ba')} + {MARGIN[2]} * {_jaccard_sql('an', 'bn')} + ({MARGIN[3]}), 6) AS margin FROM pt",
     "er_empty_address_candidates": EMPTY_CANDIDATE_SQL,
     "er_rival_counts": RIVAL_SQL,
     "er_policies": f"{SCORED_SQL} SELECT ref_id, target_id, score, before, selected FROM ow",
