@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from namesake.sources.shared import clear_work, materialise, work_dir  # noqa: F401
+
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = UPPER.lower()
 #: Most buckets an order is cut into; what the driver holds of an order is one number for each.
@@ -32,27 +33,6 @@ def shuffle_parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def work_dir(spark: SparkSession, name: str) -> str:
-    """A new path in the folder that the cluster shares.  Only a local session without one gets a folder of its own."""
-    top = spark.conf.get("spark.checkpoint.dir", None)
-    if not top:
-        master = spark.conf.get("spark.master", "")
-        if not (master == "local" or master.startswith("local[")):
-            raise ValueError("spark.checkpoint.dir must name a folder that the whole cluster shares")
-        import tempfile
-
-        top = "file://" + tempfile.mkdtemp(prefix="checkpoints-")
-        spark.conf.set("spark.checkpoint.dir", top)
-    return f"{top.rstrip('/')}/namesake/{spark.conf.get('spark.app.id', 'app')}/{name}-{uuid.uuid4().hex}"
-
-
-def clear_work(spark: SparkSession) -> None:
-    """Deletes what this application's operators have written to the shared folder: once their results are read, as
-    results read these files when they are used."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(work_dir(spark, "x")).getParent()
-    path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
-
-
 def unused(df: DataFrame, *names: str) -> list[str]:
     """Names for helper columns that df does not have: those given, with as many underscores before them as it takes."""
     taken, out = {c.lower() for c in df.columns}, []
@@ -93,13 +73,6 @@ def running_sums(numbers: Column, levels: int = LEVELS) -> Column:
     return let(numbers, cut if levels else before)
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Writes df to the shared folder and reads it back: lineage ends there, and a lost executor costs no more than its tasks."""
-    path = work_dir(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def ordered_bucket(df: DataFrame, col: str, n: int) -> Column:
     """A bucket number that rises with col (nulls first), from about n equal parts of the rows.
 

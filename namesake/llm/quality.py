@@ -148,14 +148,14 @@ def held_out(doc_id: Column) -> Column:
 
 
 def training_sample(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> tuple[list[str], list[int]]:
-    """At most TRAIN_ROWS texts and labels."""
+    """At most TRAIN_ROWS texts of at most TRAIN_CHARS and their labels; of rows that repeat an id the least text."""
     y = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(f"`{label_col}`").cast("int").alias("label")).filter("doc_id IS NOT NULL AND label IS NOT NULL")
     y = y.filter(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("label").alias("label"))
     y = y.orderBy(F.md5(F.col("doc_id").cast("string")), "doc_id").limit(TRAIN_ROWS)
     texts = id_and_text(df, id_col, text_col).filter(F.length("text") <= TRAIN_CHARS)
-    rows = texts.join(F.broadcast(y), "doc_id").select("doc_id", "text", "label").limit(4 * TRAIN_ROWS).collect()
-    rows.sort(key=lambda r: (zlib.crc32(str(r[0]).encode()), r[0], r[1]))
-    rows = rows[:TRAIN_ROWS]
+    one = texts.join(F.broadcast(y), "doc_id").groupBy("doc_id").agg(F.min(F.struct("text", "label")).alias("one"))
+    rows = one.select("doc_id", "one.*").collect()
+    rows.sort(key=lambda r: (zlib.crc32(str(r[0]).encode()), r[0]))
     return [r[1] for r in rows], [int(r[2] > 0) for r in rows]
 
 
