@@ -73,6 +73,18 @@ def running_sums(numbers: Column, levels: int = LEVELS) -> Column:
     return let(numbers, cut if levels else before)
 
 
+def joined_back(rows: DataFrame, facts: DataFrame, key: str, spread: str) -> DataFrame:
+    """rows with the one row of facts that has their key, where many rows may have the same key.
+
+    Rows are dealt into parts by another column; each part has a key once, so facts meet at most one row a part, and the
+    rows of a common key are joined in as many tasks as there are parts.
+    """
+    part, = unused(rows, "part")
+    dealt = rows.withColumn(part, F.pmod(F.xxhash64(spread), F.lit(shuffle_parts(rows.sparkSession))))
+    placed = dealt.select(part, key).distinct().join(facts, key)
+    return dealt.join(placed, [part, key]).drop(part)
+
+
 def ordered_bucket(df: DataFrame, col: str, n: int) -> Column:
     """A bucket number that rises with col (nulls first), from about n equal parts of the rows.
 

@@ -10,8 +10,8 @@ of at most TRAIN_CHARS); everything is scored.  Which rows may be learned from i
 
 Cases: null text is empty and gets a score from one chunk of zero bytes; labels that are null are left out, of rows
 that repeat an id in labels the greatest counts; without labels of both kinds every score is the share of label 1, or
-0.5 without any; repeated rows each give a row; an empty table gives none; a null id counts as the text "null"; further
-columns are ignored.
+0.5 without any; repeated rows each give a row; an empty table gives none; a null id counts as the text "null"; a very
+long text is scored whole, a chunk at a time; further columns are ignored.
 """
 
 from __future__ import annotations

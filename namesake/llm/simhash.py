@@ -11,7 +11,8 @@ over BLOCK_LIMIT is cut into sub-blocks of which each pair is compared, so that
 
 Cases: null text is empty; a text without words has fingerprint zero and links like any other; with fewer words than a
 shingle the whole sequence is the one shingle; equal fingerprints are one class; rows that repeat an id are each kept
-and stay or go together; an empty table gives none; null ids lose to any other; further columns are ignored.
+name one class; an empty table gives none; null ids lose to any other; a very long text is one row's work, its
+shingles' hashes in memory at once; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from namesake.llm.common import id_and_text, materialise, shuffle_parts
+from namesake.llm.common import id_and_text, joined_back, materialise, shuffle_parts
 from namesake.llm.components import connected_components
 
 #: Most fingerprints that are compared in one piece; larger blocks are compared by pairs of halves of it.
@@ -189,17 +190,13 @@ def near_lanes(prints: np.ndarray, planes: np.ndarray, first: int, last: int, ra
         yield i, found
 
 
-def block_forest(ids: np.ndarray, prints: np.ndarray, radius: int, accept=None) -> tuple[list[int], list[int]]:
-    """A spanning forest of the links in a block: pairs of ids.  accept(i, lanes) may turn links down."""
+def block_forest(ids: np.ndarray, prints: np.ndarray, radius: int) -> tuple[list[int], list[int]]:
+    """A spanning forest of the links in a block: pairs of ids."""
     m = len(ids)
     label = np.arange(m)
     planes = bit_planes(prints)
     for first in range(0, m, 256):
         for i, lanes in near_lanes(prints, planes, first, min(m, first + 256), radius):
-            if accept is not None:
-                lanes = lanes[accept(i, lanes)]
-            if not len(lanes):
-                continue
             found = label[lanes]
             low = min(int(found.min()), int(label[i]))
             if low == found.max() and low == label[i]:
@@ -209,12 +206,8 @@ def block_forest(ids: np.ndarray, prints: np.ndarray, radius: int, accept=None)
     return ids[out].tolist(), ids[label[out]].tolist()
 
 
-def links(classes: DataFrame, keys: list[list[int]], radius: int, similarity: float | None = None) -> DataFrame:
-    """a, b: links between classes (class_id long, fingerprint binary, weight long), a spanning forest for each block.
-
-    similarity: links must also reach this Jaccard similarity, as estimated from the distance and both weights (the
-    number of distinct shingles).
-    """
+def links(classes: DataFrame, keys: list[list[int]], radius: int) -> DataFrame:
+    """a, b: links between classes (class_id long, fingerprint binary), a spanning forest for each block."""
     spark = classes.sparkSession
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -229,9 +222,9 @@ def links(classes: DataFrame, keys: list[list[int]], radius: int, similarity: fl
                 value = np.zeros(m, np.int64)
                 for at in k:
                     value = value << 1 | bits[:, at]
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(m, i, np.int32)), pa.array(value), *b.columns], names=["band", "key", "class_id", "fingerprint", "weight"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(m, i, np.int32)), pa.array(value), *b.columns], names=["band", "key", "class_id", "fingerprint"])
 
-    rows = classes.mapInArrow(keyed, "band int, key long, class_id long, fingerprint binary, weight long")
+    rows = classes.select("class_id", "fingerprint").mapInArrow(keyed, "band int, key long, class_id long, fingerprint binary")
     sizes = rows.groupBy("band", "key").count()
     large = materialise(sizes.filter(F.col("count") > BLOCK_LIMIT), "large-blocks")
     if large.limit(1).count():
@@ -242,27 +235,19 @@ def links(classes: DataFrame, keys: list[list[int]], radius: int, similarity: fl
         rows = rows.withColumns({"low": F.least("piece", "other"), "high": F.greatest("piece", "other")})
     else:
         rows = rows.withColumns({"low": F.lit(0), "high": F.lit(0)})
-    blocks = rows.groupBy("band", "key", "low", "high").agg(F.collect_list("class_id").alias("ids"), F.collect_list("fingerprint").alias("prints"), F.collect_list("weight").alias("weights")).filter(F.size("ids") > 1)
+    blocks = rows.groupBy("band", "key", "low", "high").agg(F.collect_list("class_id").alias("ids"), F.collect_list("fingerprint").alias("prints")).filter(F.size("ids") > 1)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             a_side, b_side = [], []
-            for ids, prints, weights in zip(*(b.column(i) for i in range(3)), strict=True):
+            for ids, prints in zip(b.column(0), b.column(1), strict=True):
                 number = ids.values.to_numpy(zero_copy_only=False)
-                raw = np.frombuffer(b"".join(prints.values.to_pylist()), np.uint64).reshape(len(number), -1)
-                heavy = weights.values.to_numpy(zero_copy_only=False).astype(float)
-
-                def similar(i, lanes, raw=raw, heavy=heavy):
-                    d = np.bitwise_count(raw[lanes] ^ raw[i]).sum(1)
-                    both = np.cos(np.pi * d / (64 * raw.shape[1])) * np.sqrt(heavy[lanes] * heavy[i])
-                    return both >= similarity * (heavy[lanes] + heavy[i] - both)
-
-                x, y = block_forest(number, raw, radius, similar if similarity is not None else None)
+                x, y = block_forest(number, np.frombuffer(b"".join(prints.values.to_pylist()), np.uint64).reshape(len(number), -1), radius)
                 a_side += x
                 b_side += y
             yield pa.RecordBatch.from_arrays([pa.array(a_side, pa.int64()), pa.array(b_side, pa.int64())], names=["a", "b"])
 
-    found = blocks.select("ids", "prints", "weights").repartition(shuffle_parts(spark)).mapInArrow(compare, "a long, b long")
+    found = blocks.select("ids", "prints").repartition(shuffle_parts(spark)).mapInArrow(compare, "a long, b long")
     return materialise(found.distinct(), "links")
 
 
@@ -274,10 +259,10 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """doc_id, fingerprint (16 hex digits), component_id: 64-bit fingerprints that differ in at most `radius` bits link,
     exactly; a component has its smallest doc_id."""
     prints = materialise(fingerprints(df, id_col, text_col, words), "simhash")
-    classes = materialise(prints.groupBy("fingerprint").agg(F.min(named(F.col("doc_id"))).alias("class_id"), F.lit(1).cast("long").alias("weight")).select("class_id", "fingerprint", "weight"), "classes")
+    classes = materialise(prints.groupBy("fingerprint").agg(F.min(named(F.col("doc_id"))).alias("class_id")).select("class_id", "fingerprint"), "classes")
     component = connected_components(links(classes, pigeonhole_keys(64, radius), radius))
     by_print = classes.join(component, classes["class_id"] == component["node"], "left").select("fingerprint", F.coalesce("component", "class_id").alias("component_id"))
-    out = prints.join(by_print, "fingerprint")
+    out = joined_back(prints, by_print, "fingerprint", "doc_id")
     text = F.lower(F.concat(*[F.hex(F.substring("fingerprint", i, 1)) for i in range(8, 0, -1)]))
     return out.select("doc_id", text.alias("fingerprint"), F.nullif("component_id", F.lit(2**63 - 1)).alias("component_id"))
 
