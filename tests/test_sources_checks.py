@@ -135,3 +135,14 @@ def test_stage_is_taken_up(spark, tmp_path):
     for _ in range(2):
         assert micro_batches.stage(spark, f"{tmp_path}/s", build).count() == 3
     assert len(calls) == 1
+
+
+def test_stage_of_other_inputs_is_made_again(spark, tmp_path):
+    made, source = [], f"file://{tmp_path}/in"
+    build = lambda: made.append(1) or spark.read.parquet(source)
+    run = lambda **settings: micro_batches.stage(spark, f"file://{tmp_path}/s", build, micro_batches.depends(spark, [source], settings))
+    spark.range(3).write.parquet(source)
+    assert run(top_k=80).count() == run(top_k=80).count() == 3 and len(made) == 1
+    assert run(top_k=8).count() == 3 and len(made) == 2
+    spark.range(2).write.mode("append").parquet(source)
+    assert run(top_k=8).count() == 5 and run(top_k=8).count() == 5 and len(made) == 3
