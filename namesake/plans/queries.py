@@ -838,8 +838,8 @@ def er_boosted_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def er_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Both stages trained on generated records (120 references) and applied to them, added candidates included."""
-    raw, more, truth, _ = records.synthetic_frames(spark, 120)
+    """Both stages trained on generated records (60 references) and applied to them, added candidates included."""
+    raw, more, truth, _ = records.synthetic_frames(spark, 60)
     refs = materialise(records.entities(raw).withColumn("ref_idx", F.split("eid", "-")[1].cast("long")), "references")
     targets = materialise(records.entities(more).withColumn("rid", F.monotonically_increasing_id()), "targets")
     found = materialise(retrieval.candidates(refs, targets), "candidates")
