@@ -25,6 +25,7 @@ from hashlib import sha256
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -33,22 +34,38 @@ from namesake.llm.words import encoder, vocabulary_path
 
 #: Ids that decide a cut, least, mean (a power of two) and most ids of a chunk.
 WINDOW, LEAST, MEAN, MOST = 16, 128, 512, 4096
+#: Bytes of text that are encoded and cut at a time, and ids that are hashed at a time.
+SLICE_BYTES, BLOCK = 8 << 20, 1 << 14
 #: Addresses a task remembers so as not to send a chunk again; others are dropped after the exchange.
 SEEN = 300_000
 END_ID = 1
+MISMATCH = "a document does not match its root"
 
 
 def rolling(ids: np.ndarray, window: int = WINDOW) -> np.ndarray:
     """At i a hash of the last `window` ids up to i, by doubling; the first window - 1 entries are of fewer."""
+    return _sums(ids, window) >> np.uint64(40)
+
+
+def _sums(ids: np.ndarray, window: int) -> np.ndarray:
     h = (ids.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
     h ^= h >> np.uint64(31)
     base, width = 0xD1B54A32D192ED03, 1
     while width < window:
-        shifted = np.zeros_like(h)
-        shifted[width:] = h[:-width]
-        h = shifted * np.uint64(base) + h
+        shifted = h[:-width] * np.uint64(base)
+        h[width:] += shifted
         base, width = base * base & (1 << 64) - 1, 2 * width
-    return h >> np.uint64(40)
+    return h
+
+
+def cut_marks(ids: np.ndarray, window: int = WINDOW, mean: int = MEAN) -> np.ndarray:
+    """Positions after which the rolling hash asks for a cut.  Hashes are made for BLOCK ids at a time, which a processor's
+    cache holds, after the window - 1 ids before them."""
+    low, found = np.uint64((mean - 1) << 40), [np.zeros(0, np.int64)]
+    for at in range(0, len(ids), BLOCK):
+        before = min(at, window - 1)
+        found.append(np.flatnonzero(_sums(ids[at - before : at + BLOCK], window)[before:] & low == 0) + at + 1)
+    return np.concatenate(found)
 
 
 def cut_points(marks: list[int], start: int, end: int, least: int = LEAST, most: int = MOST) -> list[int]:
@@ -84,23 +101,40 @@ def _times(a: int, b: int) -> int:
     return p
 
 
-@lru_cache(100_000)
-def _shift(n_bytes: int) -> int:
-    """x to the power 8 * n_bytes."""
-    out, square = 1 << 31, 1 << 23
-    while n_bytes:
-        if n_bytes & 1:
-            out = _times(square, out)
-        square, n_bytes = _times(square, square), n_bytes >> 1
+@lru_cache(64)
+def _doubled(k: int) -> np.ndarray:
+    """For each byte of a CRC and each of its 256 values the product with x to the power 8 * 2 ** k."""
+    square = 1 << 23
+    for _ in range(k):
+        square = _times(square, square)
+    out = np.zeros((4, 256), np.uint32)
+    for byte in range(4):
+        for bit in range(8):
+            out[byte, 1 << bit : 2 << bit] = out[byte, : 1 << bit] ^ np.uint32(_times(square, 1 << 8 * byte + bit))
+    return out
+
+
+def joined_crcs(crcs: np.ndarray, n_bytes: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """CRC-32 of each concatenation; crcs and n_bytes: of the parts of all, one after another; counts: parts of each."""
+    bounds = np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)
+    until = np.concatenate([[0], np.cumsum(n_bytes)]).astype(np.int64)
+    behind = np.repeat(until[bounds[1:]], counts) - until[1:]
+    moved = crcs.astype(np.uint32)
+    for k in range(int(behind.max(initial=0)).bit_length()):
+        at = np.flatnonzero(behind >> k & 1)
+        table, crc = _doubled(k), moved[at]
+        moved[at] = table[0][crc & 255] ^ table[1][crc >> 8 & 255] ^ table[2][crc >> 16 & 255] ^ table[3][crc >> 24]
+    out = np.zeros(len(counts), np.uint32)
+    some = np.flatnonzero(counts)
+    if len(some):
+        out[some] = np.bitwise_xor.reduceat(moved, bounds[some])
     return out
 
 
 def crc_join(parts: list[tuple[int, int]]) -> int:
     """CRC-32 of a concatenation from (CRC-32, bytes) of its parts."""
-    crc = 0
-    for c, n in parts:
-        crc = _times(_shift(n), crc) ^ c
-    return crc
+    crcs, sizes = np.array(parts, np.int64).reshape(-1, 2).T
+    return int(joined_crcs(crcs, sizes, np.array([len(parts)]))[0])
 
 
 def with_end(ids: np.ndarray, counts: np.ndarray, end_id: int | None) -> np.ndarray:
@@ -125,13 +159,13 @@ def write_store(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str
 
         encode, seen, rows, task = encoder(vocabulary), set(), 0, TaskContext.get().partitionId()
         for b in batches:
-            for at, ids, counts in encode.batches(b.column(1)):
+            for at, ids, counts in encode.batches(b.column(1), SLICE_BYTES):
                 names = ("kind", "digest", "data", "doc_id", "n_tokens", "digests", "root")
                 out = {c: [] for c in names}
                 flat = with_end(ids, counts, end_id)
                 counts = counts + (end_id is not None)
                 wide = flat.dtype.itemsize == 4
-                marks = np.flatnonzero(rolling(flat) % np.uint64(MEAN) == 0) + 1 if len(flat) else flat
+                marks = cut_marks(flat)
                 raw, width, end = memoryview(flat.tobytes()), flat.dtype.itemsize, 0
                 kind, digest, data = out["kind"], out["digest"], out["data"]
                 bounds = np.cumsum(counts)
@@ -260,7 +294,7 @@ def _put_together(spark: SparkSession, path: str, chunks: DataFrame, *fields: st
 
 def _check(chunks: list[dict], root: bytes, n: int, sizes: list[int | None]) -> None:
     if None in sizes or merkle_root([c["digest"] for c in chunks]) != root or sum(sizes) != n:
-        raise ValueError("a document does not match its root")
+        raise ValueError(MISMATCH)
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
@@ -297,11 +331,21 @@ def verified_documents(spark: SparkSession, path: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            crcs = []
-            for n, root, row in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), b.column(4).to_pylist(), strict=True):
-                _check(row, root, n, [c["n_ids"] for c in row])
-                crcs.append(crc_join([(c["crc32"], 4 * c["n_ids"]) for c in row]))
-            yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(crcs, pa.int64())], names=["doc_id", "start", "n_tokens", "ids_crc32"])
+            lists = b.column(4)
+            counts, chunks = pc.list_value_length(lists).to_numpy(), lists.flatten()
+            digest, n_ids, crc32 = (pc.struct_field(chunks, c) for c in ("digest", "n_ids", "crc32"))
+            if n_ids.null_count or crc32.null_count:
+                raise ValueError(MISMATCH)
+            ends, n_ids = np.cumsum(counts), n_ids.to_numpy()
+            until = np.concatenate([[0], np.cumsum(n_ids)])
+            if (until[ends] - until[ends - counts] != b.column(2).to_numpy()).any():
+                raise ValueError(MISMATCH)
+            digests = digest.to_pylist()
+            for end, n, root in zip(ends.tolist(), counts.tolist(), b.column(3).to_pylist(), strict=True):
+                if merkle_root(digests[end - n : end]) != root:
+                    raise ValueError(MISMATCH)
+            crcs = joined_crcs(crc32.to_numpy(), 4 * n_ids, counts)
+            yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(crcs.astype(np.int64))], names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
     return _put_together(spark, path, read_chunks(spark, path), "n_ids", "crc32").mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
 

@@ -4,7 +4,7 @@ The normaliser of ``word_bpe_49k.json`` turns white space into single spaces, it
 special token holds one.  So a text's ids are those of its words between ASCII white space, one after another.  A batch
 of texts is split and its distinct words are numbered in Arrow; each distinct word is cut into pre-tokens once, each
 distinct pre-token is encoded once, and numpy lays the ids out again in the order of the texts.  Pre-tokens are
-remembered between batches in two generations whose bytes are bounded; long ones are not remembered at all.
+remembered between batches as Arrow arrays or in two generations, both bounded in bytes; long ones are not remembered at all.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ import re
 import sys
 from array import array
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -24,6 +25,10 @@ import pyarrow.compute as pc
 BATCH_BYTES = 4 << 20
 #: Bytes of one generation of remembered pre-tokens, each counted with ENTRY_BYTES, and the longest that is remembered.
 MEMO_BYTES, ENTRY_BYTES, LONGEST = 32 << 20, 180, 64
+#: Bytes of the pre-tokens that are remembered as Arrow and numpy arrays, with their ids.
+KNOWN_BYTES = 24 << 20
+#: Pre-tokens that go to the library as one string, and strings that go at a time.
+GROUP = 64
 #: Letters of Latin-1 and Latin Extended-A whose lower case and normal form are one character whatever stands beside them.
 LATIN = "À-ÖØ-öø-įı-ňŊ-ſ"
 #: Words of these alone are cut here, all others by the library.  No special token's start is among them.
@@ -115,13 +120,82 @@ def packer(dtype: str) -> Callable[[list[int]], bytes]:
     return lambda ids: np.array(ids, dtype).tobytes()
 
 
+class Known:
+    """ids of many strings at once, remembered as arrays: what `make_all` gives for new ones, in the order it got them.
+
+    Nothing is made in Python for a single string.  When the arrays are over `limit` bytes, the strings of the last call
+    stay if they take half of that at most.
+    """
+
+    def __init__(self, make_all: Callable[[pa.Array], tuple[np.ndarray, np.ndarray]], dtype: np.dtype, limit: int = KNOWN_BYTES):
+        self.make_all, self.dtype, self.limit = make_all, dtype, limit
+        self.forget()
+
+    def forget(self) -> None:
+        self.keys, self.ids, self.lengths = pa.array([], pa.large_string()), np.zeros(0, self.dtype), np.zeros(0, np.int64)
+
+    def held(self) -> int:
+        return self.keys.nbytes + self.ids.nbytes + self.lengths.nbytes
+
+    def all(self, keys: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """ids of distinct strings one after another, and how many each has."""
+        place = pc.fill_null(pc.index_in(keys, value_set=self.keys), -1).to_numpy().astype(np.int64)
+        new = place < 0
+        place[new] = np.arange(len(self.keys), len(self.keys) + new.sum())
+        fresh = keys.filter(pa.array(new))
+        made, counts = self.make_all(fresh)
+        self.keys = pa.concat_arrays([self.keys, fresh])
+        self.ids, self.lengths = np.concatenate([self.ids, made]), np.concatenate([self.lengths, counts])
+        lengths = self.lengths[place]
+        ids = spread(self.ids, (np.cumsum(self.lengths) - self.lengths)[place], lengths)
+        if self.held() > self.limit:
+            self.keys, self.ids, self.lengths = keys, ids, lengths
+            if self.held() > self.limit // 2:
+                self.forget()
+        return ids, lengths
+
+
+def many_pieces(tok) -> Callable[[pa.Array], tuple[np.ndarray, np.ndarray] | None] | None:
+    """From non-empty pre-tokens without spaces and "<" to their ids one after another and how many each has.
+
+    The model sees each pre-token alone, as in `model.tokenize`; GROUP of them pass the library's border as one string,
+    parted by spaces.  A vocabulary that marks ends of words tells where each one's ids end.  The result is None where
+    pre-tokens and ends differ in number; the function is, where the file marks no ends in this way.
+    """
+    from tokenizers import Tokenizer, pre_tokenizers
+
+    vocab, suffix, alphabet = tok.get_vocab(with_added_tokens=False), tok.model.end_of_word_suffix, byte_alphabet()
+    if not suffix or "<" not in suffix or not all(c in vocab and c + suffix in vocab for c in alphabet.values()):
+        return None
+    last = np.zeros(max(vocab.values()) + 1, bool)
+    last[[i for token, i in vocab.items() if token.endswith(suffix)]] = True
+    level = alphabet | {0x20: " "}
+    alone = Tokenizer(tok.model)
+    alone.pre_tokenizer = pre_tokenizers.CharDelimiterSplit(" ")
+
+    def run(pieces: pa.Array) -> tuple[np.ndarray, np.ndarray] | None:
+        bounds = np.minimum(np.arange(0, len(pieces) + GROUP, GROUP), len(pieces))
+        groups = pc.binary_join(pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pieces.cast(pa.string())), " ").to_pylist()
+        groups = [g if g.isascii() else g.encode().decode("latin-1").translate(level) for g in groups]
+        ids = [np.zeros(0, np.int64)]
+        for at in range(0, len(groups), GROUP):
+            found = alone.encode_batch_fast(groups[at : at + GROUP], add_special_tokens=False)
+            ids.append(np.fromiter(chain.from_iterable(e.ids for e in found), np.int64))
+        whole = np.concatenate(ids)
+        ends = np.flatnonzero(last[whole]) + 1
+        return (whole, np.diff(ends, prepend=0)) if len(ends) == len(pieces) and (not len(whole) or last[whole[-1]]) else None
+
+    return run
+
+
 class WordEncoder:
     """Encodes batches of texts.
 
     `encode_piece` gives the ids of one pre-token in the byte alphabet, `encode` those of any text; `dtype` holds them.
+    `encode_pieces`, if given, gives those of many pre-tokens: see `many_pieces`.
     """
 
-    def __init__(self, encode: Callable, encode_piece: Callable, dtype: str):
+    def __init__(self, encode: Callable, encode_piece: Callable, dtype: str, encode_pieces: Callable | None = None):
         chars = {chr(b): c for b, c in byte_alphabet().items()}
         level = lambda p: p if p.isascii() else "".join(map(chars.__getitem__, p.encode().decode("latin-1")))
         packed = packer(dtype)
@@ -129,6 +203,30 @@ class WordEncoder:
         self.piece = Remembered(lambda p: packed(encode_piece(level(p))) if p else b"")
         self.odd = Remembered(lambda w: packed(encode(w)))
 
+        def make_all(pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+            made = encode_pieces(pieces)
+            if made is None:
+                return self.laid_out(list(map(self.piece.make, pieces.to_pylist())))
+            return made[0].astype(self.dtype), made[1]
+
+        self.known = Known(make_all, self.dtype) if encode_pieces else None
+
+    def laid_out(self, parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        return np.frombuffer(b"".join(parts), self.dtype), np.fromiter(map(len, parts), np.int64, len(parts)) // self.dtype.itemsize
+
+    def pieces(self, distinct: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """ids of distinct stems and tails of plain words one after another, and how many each has."""
+        if self.known is None:
+            return self.laid_out(self.piece.all(listed(distinct)))
+        size = pc.binary_length(distinct).to_numpy()
+        usual = (size > 0) & (size <= LONGEST)
+        ids, some = self.known.all(distinct.filter(pa.array(usual)))
+        rest, others = self.laid_out(self.piece.all(distinct.filter(pa.array(~usual)).to_pylist()))
+        starts, lengths = np.empty(len(size), np.int64), np.empty(len(size), np.int64)
+        lengths[usual], lengths[~usual] = some, others
+        starts[usual], starts[~usual] = np.cumsum(some) - some, len(ids) + np.cumsum(others) - others
+        return spread(np.concatenate([ids, rest]), starts, lengths), lengths
+
     def words(self, distinct: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """ids of all distinct words one after another, and the start and length of each."""
         plain = pc.match_substring_regex(distinct, PLAIN)
@@ -136,19 +234,21 @@ class WordEncoder:
         cut = pc.extract_regex(low, STEM_TAIL)
         simple = pc.and_(plain, pc.is_valid(cut)).to_numpy(zero_copy_only=False)
         empty = pc.equal(distinct, "").to_numpy(zero_copy_only=False)
-        parts, chosen = [b""], np.zeros((len(distinct), 2), np.int64)
-        for i, field in enumerate(("stem", "tail")):
-            coded = pc.struct_field(cut, field).filter(pa.array(simple)).dictionary_encode()
-            chosen[simple, i] = coded.indices.to_numpy() + len(parts)
-            parts += self.piece.all(listed(coded.dictionary))
+        chosen = np.zeros((len(distinct), 2), np.int64)
+        fields = [pc.struct_field(cut, field).filter(pa.array(simple)).dictionary_encode() for field in ("stem", "tail")]
+        for i, before in enumerate((1, 1 + len(fields[0].dictionary))):
+            chosen[simple, i] = fields[i].indices.to_numpy() + before
+        ids, lengths = self.pieces(pa.concat_arrays([f.dictionary for f in fields]))
+        parts = []
         for at in np.flatnonzero(~simple & ~empty):
             if plain[at].as_py():
                 parts.append(b"".join(self.piece.all(PIECE.findall(low[at].as_py()))))
             else:
                 parts += self.odd.all([distinct[at].as_py()])
-            chosen[at, 0] = len(parts) - 1
-        lengths = np.fromiter(map(len, parts), np.int64, len(parts)) // self.dtype.itemsize
-        ids, size = np.frombuffer(b"".join(parts), self.dtype), lengths[chosen]
+            chosen[at, 0] = len(lengths) + len(parts)
+        more, others = self.laid_out(parts)
+        ids, lengths = np.concatenate([ids, more]), np.concatenate([[0], lengths, others])
+        size = lengths[chosen]
         whole = size.sum(axis=1)
         return spread(ids, (np.cumsum(lengths) - lengths)[chosen].ravel(), size.ravel()), np.cumsum(whole) - whole, whole
 
@@ -163,9 +263,9 @@ class WordEncoder:
         ends = np.concatenate([[0], np.cumsum(pc.list_value_length(split).to_numpy())]).astype(np.int64)
         return spread(ids, starts[word], size), np.diff(until[ends])
 
-    def batches(self, texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        """The first row, ids and counts of slices of about BATCH_BYTES; Arrow's memory goes back after the last."""
-        for at, size in slices(texts):
+    def batches(self, texts: pa.Array, most: int = BATCH_BYTES) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """The first row, ids and counts of slices of about `most` bytes; Arrow's memory goes back after the last."""
+        for at, size in slices(texts, most):
             yield at, *self.batch(texts.slice(at, size))
         pa.default_memory_pool().release_unused()
 
@@ -228,7 +328,7 @@ def encoder(path: str) -> WordEncoder | TextEncoder:
             tok = library(path)
             model = tok.model
             dtype = "<u2" if tok.get_vocab_size(with_added_tokens=True) <= 65536 else "<u4"
-            _encoders[path] = WordEncoder(lambda s: tok.encode(s, add_special_tokens=False).ids, lambda p: [t.id for t in model.tokenize(p)], dtype)
+            _encoders[path] = WordEncoder(lambda s: tok.encode(s, add_special_tokens=False).ids, lambda p: [t.id for t in model.tokenize(p)], dtype, many_pieces(tok))
         else:
             _encoders[path] = TextEncoder(path)
     return _encoders[path]

@@ -117,3 +117,20 @@ def test_wide_ids(spark, tmp_path):
     path = cs.write_store(table(spark, [(1, "a b c", "x"), (2, "", "x")]), f"file://{tmp_path}/s", end_id=70000)
     rows = {r["doc_id"]: r["ids"] for r in cs.read_documents(spark, path).collect()}
     assert rows[2] == [70000] and rows[1][-1] == 70000 and len(rows[1]) == 4
+
+
+def test_marks_in_blocks_are_those_of_the_whole():
+    ids = np.random.default_rng(3).integers(0, 49000, 3 * cs.BLOCK + 77).astype("<u2")
+    for some in (ids, ids[: cs.BLOCK], ids[:5], ids[:0]):
+        want = np.flatnonzero(cs.rolling(some) % np.uint64(cs.MEAN) == 0) + 1
+        assert cs.cut_marks(some).tolist() == want.tolist()
+
+
+def test_crcs_of_many_documents():
+    """Documents without parts, with empty parts and with many bytes behind a part."""
+    rng = np.random.default_rng(4)
+    docs = [[rng.bytes(int(n)) for n in sizes] for sizes in ([], [0], [5], [7, 0, 300_000, 1], [], [4] * 50, [0, 0], [1_000_000, 3])]
+    parts = [p for d in docs for p in d]
+    crcs, sizes = np.array([zlib.crc32(p) for p in parts]), np.array([len(p) for p in parts])
+    assert cs.joined_crcs(crcs, sizes, np.array([len(d) for d in docs])).tolist() == [zlib.crc32(b"".join(d)) for d in docs]
+    assert cs.joined_crcs(crcs[:0], sizes[:0], np.array([], np.int64)).tolist() == [] and cs.crc_join([]) == 0

@@ -58,3 +58,25 @@ def test_long_unbroken_text():
     text = "ab1" * 1_000_000
     ids, counts = e.batch(pa.array([text, "漢" * 100_000], pa.string()))
     assert counts[0] == 2_000_000 and len(ids) == counts.sum() and max(map(len, [*e.odd.young, *e.piece.young])) <= words.LONGEST
+
+
+def test_new_pieces_pass_the_library_together():
+    """Thousands of new words take few calls of the library, none for a single word, and what is held stays bounded."""
+    path, rng = vocabulary_path(), random.Random(2)
+    tok, calls = library(path), []
+    e = words.WordEncoder(lambda s: tok.encode(s, add_special_tokens=False).ids, lambda p: calls.append(p) or [t.id for t in tok.model.tokenize(p)], "<u2", words.many_pieces(tok))
+    e.known.limit = 600_000
+    made = ["".join(rng.choice("abcdefghéàœß") for _ in range(rng.randrange(1, 80))) + rng.choice(["", ".", ",", "!'\"", "#~"]) for _ in range(9000)]
+    for at in range(0, 9000, 1500):
+        check(e, tok, [" ".join(made[max(0, at - 500) : at + 1500])])
+        assert e.known.held() <= 600_000 and max(map(len, e.known.keys.to_pylist()), default=0) <= words.LONGEST
+    assert all(len(p) > words.LONGEST // 2 for p in calls)
+    assert len(e.known.keys) > 300
+
+
+def test_pieces_one_by_one_where_ends_are_not_marked():
+    """Where the numbers of pre-tokens and of ends differ, each goes to the library alone."""
+    tok = library(vocabulary_path())
+    e = words.WordEncoder(lambda s: tok.encode(s, add_special_tokens=False).ids, lambda p: [t.id for t in tok.model.tokenize(p)], "<u2", lambda pieces: None)
+    check(e, tok, ODD)
+    check(e, tok, ODD[::-1])
